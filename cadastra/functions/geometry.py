@@ -178,8 +178,9 @@ def contains_point(geom: Column, x: Column, y: Column) -> Column:
 
     def crosses(e: Column) -> Column:
         spans = (e["y1"] > y) != (e["y2"] > y)
-        left = (x - e["x1"]) * (e["y2"] - e["y1"]) < (e["x2"] - e["x1"]) * (y - e["y1"])
-        return spans & (left == (e["y2"] > e["y1"]))
+        along, across = (e["x2"] - e["x1"]) * (y - e["y1"]), (x - e["x1"]) * (e["y2"] - e["y1"])
+        # Strictly left of the crossing, whichever way the edge runs.
+        return spans & F.when(e["y2"] > e["y1"], across < along).otherwise(across > along)
 
     return F.aggregate(edges(geom), F.lit(False), lambda inside, e: inside != crosses(e))
 
