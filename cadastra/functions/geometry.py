@@ -170,11 +170,8 @@ def centroid(geom: Column) -> Column:
     return F.when(n > 0, F.coalesce(weighted, F.struct(mean("x").alias("x"), mean("y").alias("y"))))
 
 
-def contains_point(geom: Column, x: Column, y: Column) -> Column:
-    """Even-odd test, holes included.
-
-    Half-open on the boundary: a point shared by two polygons of a partition lies in exactly one of them.
-    """
+def _inside(sides: Column, x: Column, y: Column) -> Column:
+    """Even-odd test against an array of edges."""
 
     def crosses(e: Column) -> Column:
         spans = (e["y1"] > y) != (e["y2"] > y)
@@ -182,7 +179,15 @@ def contains_point(geom: Column, x: Column, y: Column) -> Column:
         # Strictly left of the crossing, whichever way the edge runs.
         return spans & F.when(e["y2"] > e["y1"], across < along).otherwise(across > along)
 
-    return F.aggregate(edges(geom), F.lit(False), lambda inside, e: inside != crosses(e))
+    return F.aggregate(sides, F.lit(False), lambda inside, e: inside != crosses(e))
+
+
+def contains_point(geom: Column, x: Column, y: Column) -> Column:
+    """Even-odd test, holes included.
+
+    Half-open on the boundary: a point shared by two polygons of a partition lies in exactly one of them.
+    """
+    return _inside(edges(geom), x, y)
 
 
 def _cross(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
@@ -205,7 +210,12 @@ def _segment_meets_box(e: Column, b: Column) -> Column:
 
 def intersects_box(geom: Column, b: Column) -> Column:
     """Exact closed test of a multipolygon against a box: touching counts."""
-    return F.exists(edges(geom), lambda e: _segment_meets_box(e, b)) | contains_point(geom, b["xmin"], b["ymin"])
+
+    def test(v: Column) -> Column:
+        rim = F.exists(v["sides"], lambda e: _segment_meets_box(e, v["b"]))
+        return rim | _inside(v["sides"], v["b"]["xmin"], v["b"]["ymin"])
+
+    return let(F.struct(edges(geom).alias("sides"), b.alias("b")), test)
 
 
 def _segments_meet(a: Column, b: Column) -> Column:
@@ -226,14 +236,21 @@ def _segments_meet(a: Column, b: Column) -> Column:
 
 def intersects(a: Column, b: Column) -> Column:
     """Exact closed test of two multipolygons: boundaries meet or one holds a vertex of the other."""
-    first_a, first_b = vertices(a)[0], vertices(b)[0]
-    boundary = F.exists(edges(a), lambda ea: F.exists(edges(b), lambda eb: _segments_meet(ea, eb)))
 
-    # Without a boundary crossing, parts are wholly inside or outside: one vertex per ring decides.
-    def any_ring_in(inner: Column, outer: Column) -> Column:
-        return F.exists(rings(inner), lambda r: contains_point(outer, r[0]["x"], r[0]["y"]))
+    # Without a boundary crossing, rings are wholly inside or outside: one vertex per ring decides.
+    def starts(geom: Column) -> Column:
+        return F.transform(rings(geom), lambda r: r[0])
+
+    def test(v: Column) -> Column:
+        rim = F.exists(v["ea"], lambda p: F.exists(v["eb"], lambda q: _segments_meet(p, q)))
+        a_in_b = F.exists(v["sa"], lambda p: _inside(v["eb"], p["x"], p["y"]))
+        b_in_a = F.exists(v["sb"], lambda p: _inside(v["ea"], p["x"], p["y"]))
+        return rim | a_in_b | b_in_a
 
-    return first_a.isNotNull() & first_b.isNotNull() & (boundary | any_ring_in(a, b) | any_ring_in(b, a))
+    parts = F.struct(
+        edges(a).alias("ea"), edges(b).alias("eb"), starts(a).alias("sa"), starts(b).alias("sb")
+    )
+    return let(parts, test)
 
 
 def _trapezoids(geom: Column) -> Column:
@@ -322,8 +339,11 @@ def snapped(geom: Column) -> Column:
 def touches(a: Column, b: Column) -> Column:
     """Boundaries meet and interiors do not, for multipolygons already on the snapping grid."""
     # Rounding of the area sum only; a sliver one grid step wide is far above it.
-    slack = F.lit(0.5) + F.lit(1e-12) * (area(a) + area(b))
-    return intersects(a, b) & (overlap_area(a, b) <= slack)
+    def test(v: Column) -> Column:
+        slack = F.lit(0.5) + F.lit(1e-12) * (area(v["a"]) + area(v["b"]))
+        return intersects(v["a"], v["b"]) & (overlap_area(v["a"], v["b"]) <= slack)
+
+    return let(F.struct(a.alias("a"), b.alias("b")), test)
 
 
 def within(a: Column, b: Column, tolerance: float = 1e-9) -> Column:

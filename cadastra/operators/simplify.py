@@ -17,33 +17,64 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_RING = 4
 
 
-def keep_mask(xy: np.ndarray, tolerance: float) -> np.ndarray:
-    """Vertices of a closed ring that stay: the farthest-point rule with an explicit stack."""
-    n = len(xy)
-    keep = np.zeros(n, dtype=bool)
-    if n <= MIN_RING:
-        keep[:] = True
+def _interior(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indices strictly between first and last of every piece, the piece of each, and where each piece starts."""
+    lengths = last - first - 1
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    piece = np.repeat(np.arange(len(first)), lengths)
+    return np.arange(lengths.sum()) - starts[piece] + first[piece] + 1, piece, starts
+
+
+def _farthest(values: np.ndarray, piece: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest value of every piece and the position of its first occurrence."""
+    largest = np.maximum.reduceat(values, starts)
+    at = np.flatnonzero(values == largest[piece])
+    _, first = np.unique(piece[at], return_index=True)
+    return largest, at[first]
+
+
+def keep_mask(xy: np.ndarray, sizes: np.ndarray, tolerance: float) -> np.ndarray:
+    """Vertices of closed rings that stay by the farthest-point rule, for all rings of a batch at once.
+
+    A closed ring is split at the vertex farthest from its start, or its base line would have no length. Every pass
+    handles all open pieces of all rings together.
+    """
+    ends = np.cumsum(sizes)
+    begin = ends - sizes
+    keep = np.ones(len(xy), dtype=bool)
+    rings = np.flatnonzero(sizes > MIN_RING)
+    if len(rings) == 0:
         return keep
-    # A closed ring is split at the vertex farthest from its start, or the base line would have no length.
-    far = int(np.argmax(((xy - xy[0]) ** 2).sum(axis=1)))
-    keep[[0, far, n - 1]] = True
-    stack = [(0, far), (far, n - 1)]
-    distances = np.zeros(n)
-    while stack:
-        a, b = stack.pop()
-        if b - a < 2:
-            continue
-        line, part = xy[b] - xy[a], xy[a + 1 : b] - xy[a]
-        length = float((line**2).sum())
-        t = np.clip(part @ line / length, 0.0, 1.0) if length > 0 else np.zeros(len(part))
-        d = np.sqrt(((part - t[:, None] * line) ** 2).sum(axis=1))
-        distances[a + 1 : b] = d
-        i = a + 1 + int(np.argmax(d))
-        if d[i - a - 1] > tolerance:
-            keep[i] = True
-            stack += [(a, i), (i, b)]
-    if keep.sum() < MIN_RING:
-        keep[int(np.argmax(np.where(keep, -1.0, distances)))] = True
+    first, last = begin[rings], ends[rings] - 1
+    index, piece, starts = _interior(first, last)
+    keep[index] = False
+    _, at = _farthest(((xy[index] - xy[first[piece]]) ** 2).sum(axis=1), piece, starts)
+    far = index[at]
+    keep[far] = True
+    off_line = np.zeros(len(xy))
+    first, last = np.concatenate([first, far]), np.concatenate([far, last])
+    while True:
+        open_piece = last - first > 1
+        first, last = first[open_piece], last[open_piece]
+        if len(first) == 0:
+            break
+        index, piece, starts = _interior(first, last)
+        line = (xy[last] - xy[first])[piece]
+        part = xy[index] - xy[first[piece]]
+        length = (line**2).sum(axis=1)
+        t = np.clip(np.divide((part * line).sum(axis=1), length, out=np.zeros(len(part)), where=length > 0), 0, 1)
+        distance = np.sqrt(((part - t[:, None] * line) ** 2).sum(axis=1))
+        off_line[index] = distance
+        largest, at = _farthest(distance, piece, starts)
+        split = largest > tolerance
+        middle = index[at[split]]
+        keep[middle] = True
+        first, last = np.concatenate([first[split], middle]), np.concatenate([middle, last[split]])
+    # A ring that would fall under the smallest valid size keeps its next most distant vertex.
+    total = np.concatenate([[0], np.cumsum(keep)])
+    for ring in rings[(total[ends] - total[begin])[rings] < MIN_RING]:
+        inside = slice(begin[ring], ends[ring])
+        keep[begin[ring] + int(np.argmax(np.where(keep[inside], -1.0, off_line[inside])))] = True
     return keep
 
 
@@ -66,10 +97,7 @@ def simplify(df: DataFrame, tolerance: float, geom: str = "geom") -> DataFrame:
                                   points.field("y").to_numpy(zero_copy_only=False)])
             sizes = rings.value_lengths().fill_null(0).to_numpy()
             ends = np.cumsum(sizes)
-            mask = np.ones(len(xy), dtype=bool)
-            for end, size in zip(ends, sizes):
-                if size > MIN_RING:
-                    mask[end - size : end] = keep_mask(xy[end - size : end], tolerance)
+            mask = keep_mask(xy, sizes, tolerance)
             kept = np.concatenate([[0], np.cumsum(mask)])
             ring_type = arrow_schema.field(geom).type.value_type.value_type
             point_type = ring_type.value_type

@@ -9,8 +9,6 @@ in large cells; coarse cells with many small features are hot keys and are salte
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +28,9 @@ def _level(bbox: Column) -> Column:
     return level
 
 
-def _cells(df: DataFrame, bbox: str, side: str, coarser: Callable[[Column], Column]) -> DataFrame:
-    """Rows repeated per grid cell they cover at their own level and at the coarser levels asked for."""
-    own = f"_level_{side}"
+def _cells(df: DataFrame, bbox: str, levels: Column) -> DataFrame:
+    """Rows repeated per grid cell they cover at each of the given levels."""
     sizes = F.array(*[F.lit(s) for s in CELL_SIZES])
-    levels = F.filter(
-        F.sequence(F.lit(0), F.lit(len(CELL_SIZES) - 1)),
-        lambda k: (k == F.col(own)) | ((k > F.col(own)) & coarser(k)),
-    )
 
     def cover(low: str, high: str) -> Column:
         first, last = (F.floor(F.col(bbox)[c] / F.col("_size")) for c in (low, high))
@@ -52,6 +45,15 @@ def _cells(df: DataFrame, bbox: str, side: str, coarser: Callable[[Column], Colu
     )
 
 
+def _levels_from(own: str, other: list[int]) -> Column:
+    """Levels at which a feature can meet one whose level is in `other`: constants per own level."""
+    choices = []
+    for k in range(len(CELL_SIZES)):
+        wanted = ([k] if any(level <= k for level in other) else []) + [level for level in other if level > k]
+        choices.append(F.array(*[F.lit(level) for level in wanted]).cast("array<int>"))
+    return F.get(F.array(*choices), F.col(own))
+
+
 def box_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -80,17 +82,19 @@ def box_pairs(
     lefts, rights = levelled(left, left_box, "l"), levelled(right, right_box, "r")
     measured = rights.agg(table_bytes(right).alias("bytes"), F.collect_set("_level_r").alias("levels")).first()
     levels_right = sorted(measured.levels)
-    cells_left = _cells(lefts, left_box, "l", lambda k: k.isin(levels_right) if levels_right else F.lit(False))
+    cells_left = _cells(lefts, left_box, _levels_from("_level_l", levels_right))
     on = ["_at", "_cx", "_cy"]
     if measured.bytes <= broadcast_bytes:
-        cells_right = _cells(rights, right_box, "r", lambda k: F.lit(True))
+        every = list(range(len(CELL_SIZES)))
+        cells_right = _cells(rights, right_box, _levels_from("_level_r", every))
         joined = cells_left.join(F.broadcast(cells_right), on)
     else:
         # An uncorrelated scalar subquery: at most one small array of levels.
         levels_left = lefts.agg(F.collect_set("_level_l")).scalar()
-        cells_right = _cells(
-            rights.withColumn("_levels", levels_left), right_box, "r", lambda k: F.array_contains("_levels", k)
-        ).drop("_levels")
+        every = F.sequence(F.lit(0), F.lit(len(CELL_SIZES) - 1))
+        own = F.col("_level_r")
+        wanted = F.filter(every, lambda k: (k == own) | ((k > own) & F.array_contains("_levels", k)))
+        cells_right = _cells(rights.withColumn("_levels", levels_left), right_box, wanted).drop("_levels")
         joined = salted(cells_left, cells_right, on, left_key, "inner", rows_per_split)
     lb, rb = F.col(left_box), F.col(right_box)
     size = F.get(F.array(*[F.lit(s) for s in CELL_SIZES]), F.col("_at"))

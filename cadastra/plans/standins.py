@@ -6,7 +6,7 @@ Every row of the source tables takes part, so the work of a query grows with the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
@@ -26,79 +26,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _by_region(values: dict[int, object]) -> Column:
-    result = F.lit(None)
-    for key, value in values.items():
-        result = F.when(F.col("n_regionkey") == key, F.lit(value)).otherwise(result)
-    return result
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a table whose few small files would be read by fewer tasks; at scale this does nothing."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores, key)
 
 
-def _bound(i: int) -> Column:
-    return _by_region({k: float(STATE_BOUNDS[s][i]) for k, s in REGION_STATE.items()})
-
-
-def _null_if(every: int, value: Column, key: Column) -> Column:
-    return F.when(key % every != 0, value)
+def _lookup(values: dict[int, object]) -> str:
+    entries = ", ".join(f"{k}, {v}" for k, v in values.items())
+    return f"element_at(map({entries}), n_regionkey)"
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        "n_nationkey",
-        "n_name",
-        _by_region(REGION_STATE).alias("statefp"),
-        F.lpad((F.col("n_nationkey") * 2 + 1).cast("string"), 3, "0").alias("countyfp"),
-        *[_bound(i).alias(name) for i, name in enumerate(("x0", "y0", "x1", "y1"))],
+    bounds = [
+        _lookup({k: f"{STATE_BOUNDS[s][i]}D" for k, s in REGION_STATE.items()}) + f" AS {name}"
+        for i, name in enumerate(("x0", "y0", "x1", "y1"))
+    ]
+    return table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey", "n_name", _lookup({k: f"'{s}'" for k, s in REGION_STATE.items()}) + " AS statefp",
+        "lpad(cast(n_nationkey * 2 + 1 AS string), 3, '0') AS countyfp", *bounds,
     )
 
 
-def _share(k: Column, factor: int) -> Column:
-    return ((k * factor) % 10000).cast("double") / 10000
-
-
 def parcel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw parcels: one per order, placed in the state of the customer's region."""
-    k = F.col("o_orderkey")
-    x = F.col("x0") + (F.col("x1") - F.col("x0")) * _share(k, 7919)
-    y = F.col("y0") + (F.col("y1") - F.col("y0")) * _share(k, 104729)
-    half = F.lit(0.0005) * (1 + k % 5)
-    address = F.concat((100 + k % 900).cast("string"), F.lit(" Peachtree St "), (k % 40).cast("string"))
-    joined = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    placed = (
+        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumns({"centroidx": x, "centroidy": y, "_half": half})
+        .selectExpr(
+            "*", "o_orderkey AS k",
+            "x0 + (x1 - x0) * (cast((o_orderkey * 7919) % 10000 AS double) / 10000) AS centroidx",
+            "y0 + (y1 - y0) * (cast((o_orderkey * 104729) % 10000 AS double) / 10000) AS centroidy",
+            "0.0005D * (1 + o_orderkey % 5) AS half",
+        )
     )
-    cx, cy, h = F.col("centroidx"), F.col("centroidy"), F.col("_half")
-    price = F.floor(F.col("o_totalprice")).cast("bigint")
-    rows = joined.select(
-        k.alias("lrid"),
-        _null_if(11, F.concat(F.lit("P"), (k % 601).cast("string")), k).alias("parcelid"),
-        _null_if(13, F.concat(F.lit("A"), (k % 601).cast("string")), k).alias("parcelid2"),
+    rows = placed.selectExpr(
+        "k AS lrid",
+        "if(k % 11 != 0, concat('P', k % 601), null) AS parcelid",
+        "if(k % 13 != 0, concat('A', k % 601), null) AS parcelid2",
         "statefp",
         "countyfp",
-        _null_if(97, F.concat("statefp", "countyfp"), k).alias("geoid"),
-        F.year("o_orderdate").alias("taxyear"),
-        F.concat(F.lit("U"), (k % 12).cast("string")).alias("usecode"),
-        F.lower("c_mktsegment").alias("usedesc"),
-        F.when(k % 4 != 1, F.concat(F.lit("Z"), (k % 6).cast("string"))).alias("zoningcode"),
-        (k % 3).cast("int").alias("numbldgs"),
-        _null_if(3, (F.year("o_orderdate") - (k % 60)).cast("int"), k).alias("yearbuilt"),
-        _null_if(5, (500 + k % 4000).cast("int"), k).alias("bldgsqft"),
-        _null_if(7, price, k).alias("totalvalue"),
-        ((k % 400).cast("double") / 100).alias("assdacres"),
-        _null_if(4, F.floor(F.col("o_totalprice") / 2).cast("bigint"), k).alias("saleamt"),
-        F.col("o_orderdate").alias("saledate"),
-        _null_if(17, F.col("c_name"), k).alias("ownername"),
-        _null_if(19, address, k).alias("parceladdr"),
-        F.lit("Springfield").alias("parcelcity"),
-        F.when(k % 10 >= 7, F.concat(F.lit("LOT "), (k % 50).cast("string"))).alias("legaldesc"),
-        F.col("o_orderdate").alias("updated"),
-        F.lit("2026.1").alias("lrversion"),
+        "if(k % 97 != 0, concat(statefp, countyfp), null) AS geoid",
+        "year(o_orderdate) AS taxyear",
+        "concat('U', k % 12) AS usecode",
+        "lower(c_mktsegment) AS usedesc",
+        "if(k % 4 != 1, concat('Z', k % 6), null) AS zoningcode",
+        "cast(k % 3 AS int) AS numbldgs",
+        "if(k % 3 != 0, cast(year(o_orderdate) - k % 60 AS int), null) AS yearbuilt",
+        "if(k % 5 != 0, cast(500 + k % 4000 AS int), null) AS bldgsqft",
+        "if(k % 7 != 0, cast(floor(o_totalprice) AS bigint), null) AS totalvalue",
+        "cast(k % 400 AS double) / 100 AS assdacres",
+        "if(k % 4 != 0, cast(floor(o_totalprice / 2) AS bigint), null) AS saleamt",
+        "o_orderdate AS saledate",
+        "if(k % 17 != 0, c_name, null) AS ownername",
+        "if(k % 19 != 0, concat(100 + k % 900, ' Peachtree St ', k % 40), null) AS parceladdr",
+        "'Springfield' AS parcelcity",
+        "if(k % 10 >= 7, concat('LOT ', k % 50), null) AS legaldesc",
+        "o_orderdate AS updated",
+        "'2026.1' AS lrversion",
         "centroidx",
         "centroidy",
-        _null_if(23, cx, k).alias("surfpointx"),
-        cy.alias("surfpointy"),
-        G.box(cx - h, cy - h, cx + h, cy + h).alias("bbox"),
+        "if(k % 23 != 0, centroidx, null) AS surfpointx",
+        "centroidy AS surfpointy",
+        "struct(centroidx - half AS xmin, centroidy - half AS ymin, centroidx + half AS xmax, centroidy + half AS ymax) AS bbox",
     )
     return rows.withColumn("geom", G.box_polygon(F.col("bbox")))
 
@@ -136,7 +127,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lots on a lattice with shared edges, one per part."""
     p = F.col("p_partkey")
-    placed = table(spark, sf_dir, "part").select(
+    placed = spread(table(spark, sf_dir, "part"), "p_partkey").select(
         p.alias("lot_id"), "p_brand", "p_size",
         (p % LOT_COLUMNS).alias("lot_col"), (F.floor(p / LOT_COLUMNS) % 50000).alias("lot_row"),
     )

@@ -75,13 +75,15 @@ def parse(blob: bytes) -> list[list[np.ndarray]]:
     return parts
 
 
-def build(parts: list[list[np.ndarray]]) -> bytes:
-    """Little-endian WKB multipolygon."""
-    out = [struct.pack("<BII", 1, _MULTIPOLYGON, len(parts))]
-    for part in parts:
-        out.append(struct.pack("<BII", 1, _POLYGON, len(part)))
-        for ring in part:
-            out += [struct.pack("<I", len(ring)), np.ascontiguousarray(ring, "<f8").tobytes()]
+def build(xy: np.ndarray, per_poly: list[int], per_ring: list[int]) -> bytes:
+    """Little-endian WKB multipolygon from flat coordinates, rings per polygon and points per ring."""
+    out, ring, at = [struct.pack("<BII", 1, _MULTIPOLYGON, len(per_poly))], 0, 0
+    for count in per_poly:
+        out.append(struct.pack("<BII", 1, _POLYGON, count))
+        for n in per_ring[ring : ring + count]:
+            out += [struct.pack("<I", n), xy[at : at + n].tobytes()]
+            at += n
+        ring += count
     return b"".join(out)
 
 
@@ -128,16 +130,29 @@ def to_wkb(df: DataFrame, column: str = "geom") -> DataFrame:
     """Replace nested arrays by WKB, for exchange with systems that expect it."""
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == column else f for f in df.schema.fields]
 
-    def encode(value: list | None) -> bytes | None:
-        if value is None:
-            return None
-        return build([[np.array([(p["x"], p["y"]) for p in ring]).reshape(-1, 2) for ring in part] for part in value])
+    def encode(shapes: pa.ListArray) -> list[bytes | None]:
+        polys = shapes.flatten()
+        rings = polys.flatten()
+        points = rings.flatten()
+        xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y")]).astype("<f8")
+        rings_of, points_of = polys.value_lengths().to_pylist(), rings.value_lengths().to_pylist()
+        out, poly, ring, point = [], 0, 0, 0
+        for count in shapes.value_lengths().to_pylist():
+            if count is None:
+                out.append(None)
+                continue
+            per_poly = rings_of[poly : poly + count]
+            per_ring = points_of[ring : ring + sum(per_poly)]
+            n = sum(per_ring)
+            out.append(build(xy[point : point + n], per_poly, per_ring))
+            poly, ring, point = poly + count, ring + len(per_ring), point + n
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             i = batch.schema.get_field_index(column)
             columns = list(batch.columns)
-            columns[i] = pa.array([encode(v) for v in columns[i].to_pylist()], pa.binary())
+            columns[i] = pa.array(encode(columns[i]), pa.binary())
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema.set(i, pa.field(column, pa.binary())))
 
     return df.mapInArrow(run, T.StructType(fields))
