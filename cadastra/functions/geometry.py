@@ -242,14 +242,13 @@ def intersects(a: Column, b: Column) -> Column:
         return F.transform(rings(geom), lambda r: r[0])
 
     def test(v: Column) -> Column:
-        rim = F.exists(v["ea"], lambda p: F.exists(v["eb"], lambda q: _segments_meet(p, q)))
-        a_in_b = F.exists(v["sa"], lambda p: _inside(v["eb"], p["x"], p["y"]))
-        b_in_a = F.exists(v["sb"], lambda p: _inside(v["ea"], p["x"], p["y"]))
+        (ea, sa), (eb, sb) = ((v[i]["sides"], v[i]["starts"]) for i in (0, 1))
+        rim = F.exists(ea, lambda p: F.exists(eb, lambda q: _segments_meet(p, q)))
+        a_in_b = F.exists(sa, lambda p: _inside(eb, p["x"], p["y"]))
+        b_in_a = F.exists(sb, lambda p: _inside(ea, p["x"], p["y"]))
         return rim | a_in_b | b_in_a
 
-    parts = F.struct(
-        edges(a).alias("ea"), edges(b).alias("eb"), starts(a).alias("sa"), starts(b).alias("sb")
-    )
+    parts = F.transform(F.array(a, b), lambda g: F.struct(edges(g).alias("sides"), starts(g).alias("starts")))
     return let(parts, test)
 
 
@@ -288,10 +287,8 @@ def overlap_area(a: Column, b: Column) -> Column:
 
     Each polygon is a signed sum of trapezoids under its edges, so the shared area is the signed sum over edge
     pairs of the area under the lower of two line pieces, which has a closed form. The base line cancels out;
-    the lowest vertex of `a` keeps the terms small.
+    one near the bottom of `a` keeps the terms small.
     """
-    base = F.array_min(vertices(a)["y"])
-
     def pair(s: Column, t: Column, y0: Column) -> Column:
         lo, hi = F.greatest(s["xa"], t["xa"]), F.least(s["xb"], t["xb"])
 
@@ -312,16 +309,18 @@ def overlap_area(a: Column, b: Column) -> Column:
 
         return F.when(lo < hi, s["w"] * t["w"] * (hi - lo) * let(ends, under)).otherwise(F.lit(0.0))
 
-    def total(y0: Column, tb: Column) -> Column:
+    def total(v: Column) -> Column:
         return F.aggregate(
-            _trapezoids(a),
+            v["ta"],
             F.lit(0.0),
-            lambda acc, s: acc + F.aggregate(tb, F.lit(0.0), lambda inner, t: inner + pair(s, t, y0)),
+            lambda acc, s: acc + F.aggregate(v["tb"], F.lit(0.0), lambda inner, t: inner + pair(s, t, v["y0"])),
         )
 
-    area_sum = let(
-        F.struct(base.alias("y0"), _trapezoids(b).alias("tb")), lambda v: total(v["y0"], v["tb"])
-    )
+    def prepared(t: Column) -> Column:
+        base = F.array_min(t[0]["ya"])
+        return let(F.struct(t[0].alias("ta"), t[1].alias("tb"), base.alias("y0")), total)
+
+    area_sum = let(F.transform(F.array(a, b), _trapezoids), prepared)
     return F.greatest(area_sum, F.lit(0.0))
 
 
@@ -340,10 +339,10 @@ def touches(a: Column, b: Column) -> Column:
     """Boundaries meet and interiors do not, for multipolygons already on the snapping grid."""
     # Rounding of the area sum only; a sliver one grid step wide is far above it.
     def test(v: Column) -> Column:
-        slack = F.lit(0.5) + F.lit(1e-12) * (area(v["a"]) + area(v["b"]))
-        return intersects(v["a"], v["b"]) & (overlap_area(v["a"], v["b"]) <= slack)
+        slack = F.aggregate(v, F.lit(0.5), lambda acc, g: acc + F.lit(1e-12) * area(g))
+        return intersects(v[0], v[1]) & (overlap_area(v[0], v[1]) <= slack)
 
-    return let(F.struct(a.alias("a"), b.alias("b")), test)
+    return let(F.array(a, b), test)
 
 
 def within(a: Column, b: Column, tolerance: float = 1e-9) -> Column:

@@ -41,11 +41,6 @@ def estimated_small(df: DataFrame) -> bool:
     return 0 <= int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= threshold
 
 
-def measured_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """True when the measured size of `df` is under `limit` (one aggregation over it)."""
-    return df.agg(table_bytes(df)).first()[0] <= limit
-
-
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -61,12 +56,10 @@ def salted_join(
     needs no salt. `salt_by` names columns of `left` that differ between the rows of a key. No row is dropped, so
     the result equals the plain join for inner, left, left_semi and left_anti.
 
-    A right side that is small, by Spark's estimate or by measurement, is broadcast instead; then no key is shuffled.
+    A right side that Spark estimates to be under its broadcast threshold is left to it; then no key is shuffled.
     """
     if estimated_small(right):
         return left.join(right, on, how)
-    if measured_small(right):
-        return left.join(F.broadcast(right), on, how)
     return salted(left, right, on, salt_by, how, rows_per_split)
 
 

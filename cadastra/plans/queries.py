@@ -257,7 +257,7 @@ def zone_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adjacent_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = S.lots(spark, sf_dir)
     targets = lots.where(F.col("p_brand") == TARGET_BRAND)
-    return J.touching(lots, targets, ["lot_id"]).select("lot_id", "p_brand")
+    return J.touching(lots, targets).select("lot_id", "p_brand")
 
 
 def footprint_containment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,8 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     The cluster names the parent in spark.checkpoint.dir. Only where that is unset (tests on one
     machine) a temporary folder is made and set.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None)
+    parent = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not parent:
-        parent = tempfile.mkdtemp(prefix="cadastra-")
-        spark.conf.set("spark.checkpoint.dir", parent)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cadastra-"))
+        parent = spark.sparkContext.getCheckpointDir()
     return f"{parent.rstrip('/')}/{uuid.uuid4().hex}"
