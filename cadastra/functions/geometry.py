@@ -7,12 +7,14 @@ them (see operators.filters), so they only see rows whose boxes already meet.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Box = tuple[float, float, float, float]
+Coords = list[list[list[tuple[float, float]]]]
 
 # Grid that coordinates are snapped to before adjacency tests, in degrees (about 0.1 mm).
 SNAP = 1e-9
@@ -234,22 +236,38 @@ def _segments_meet(a: Column, b: Column) -> Column:
     return overlap & straddles(a, b) & straddles(b, a)
 
 
-def intersects(a: Column, b: Column) -> Column:
-    """Exact closed test of two multipolygons: boundaries meet or one holds a vertex of the other."""
+def _parts(geom: Column) -> Column:
+    """Edges and the first vertex of every ring: what an intersection test needs of one side."""
+    starts = F.transform(rings(geom), lambda r: r[0])
+    return F.struct(edges(geom).alias("sides"), starts.alias("starts"))
+
 
+def _parts_meet(a: Column, b: Column) -> Column:
     # Without a boundary crossing, rings are wholly inside or outside: one vertex per ring decides.
-    def starts(geom: Column) -> Column:
-        return F.transform(rings(geom), lambda r: r[0])
+    rim = F.exists(a["sides"], lambda p: F.exists(b["sides"], lambda q: _segments_meet(p, q)))
+    a_in_b = F.exists(a["starts"], lambda p: _inside(b["sides"], p["x"], p["y"]))
+    b_in_a = F.exists(b["starts"], lambda p: _inside(a["sides"], p["x"], p["y"]))
+    return rim | a_in_b | b_in_a
+
+
+def intersects(a: Column, b: Column) -> Column:
+    """Exact closed test of two multipolygons: boundaries meet or one holds a vertex of the other."""
+    return let(F.transform(F.array(a, b), _parts), lambda v: _parts_meet(v[0], v[1]))
 
-    def test(v: Column) -> Column:
-        (ea, sa), (eb, sb) = ((v[i]["sides"], v[i]["starts"]) for i in (0, 1))
-        rim = F.exists(ea, lambda p: F.exists(eb, lambda q: _segments_meet(p, q)))
-        a_in_b = F.exists(sa, lambda p: _inside(eb, p["x"], p["y"]))
-        b_in_a = F.exists(sb, lambda p: _inside(ea, p["x"], p["y"]))
-        return rim | a_in_b | b_in_a
 
-    parts = F.transform(F.array(a, b), lambda g: F.struct(edges(g).alias("sides"), starts(g).alias("starts")))
-    return let(parts, test)
+def intersects_constant(geom: Column, coords: Coords) -> Column:
+    """As `intersects` against a constant multipolygon, whose edges are laid out once when the query is built."""
+    found = [ring for poly in coords for ring in poly]
+    sides = [
+        {"x1": p[0], "y1": p[1], "x2": q[0], "y2": q[1]} for ring in found for p, q in zip(ring, ring[1:])
+    ]
+    starts = [{"x": ring[0][0], "y": ring[0][1]} for ring in found]
+    fixed = F.from_json(
+        F.lit(json.dumps({"sides": sides, "starts": starts})),
+        "sides array<struct<x1: double, y1: double, x2: double, y2: double>>, "
+        "starts array<struct<x: double, y: double>>",
+    )
+    return let(F.struct(_parts(geom).alias("a"), fixed.alias("b")), lambda v: _parts_meet(v["a"], v["b"]))
 
 
 def _trapezoids(geom: Column) -> Column:
@@ -374,24 +392,13 @@ def map_points(geom: Column, f) -> Column:
     return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, f)))
 
 
-def polygon_literal(coords: list[list[list[tuple[float, float]]]]) -> Column:
+def polygon_literal(coords: Coords) -> Column:
     """Constant multipolygon from nested Python lists of (x, y)."""
-    return F.array(
-        *[
-            F.array(
-                *[
-                    F.array(
-                        *[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ring]
-                    )
-                    for ring in poly
-                ]
-            )
-            for poly in coords
-        ]
-    )
+    nested = [[[{"x": x, "y": y} for x, y in ring] for ring in poly] for poly in coords]
+    return F.from_json(F.lit(json.dumps(nested)), "array<array<array<struct<x: double, y: double>>>>")
 
 
-def bounds_of_coords(coords: list[list[list[tuple[float, float]]]]) -> Box:
+def bounds_of_coords(coords: Coords) -> Box:
     """Box of a constant multipolygon (the query polygon of a search)."""
     pts = [p for poly in coords for ring in poly for p in ring]
     xs, ys = [p[0] for p in pts], [p[1] for p in pts]

@@ -38,11 +38,9 @@ def intersecting_box(df: DataFrame, bounds: Box, geom: str = "geom", bbox: str =
     return in_box(df, bounds, bbox).where(exact)
 
 
-def intersecting_polygon(
-    df: DataFrame, coords: list[list[list[tuple[float, float]]]], geom: str = "geom", bbox: str = "bbox"
-) -> DataFrame:
+def intersecting_polygon(df: DataFrame, coords: G.Coords, geom: str = "geom", bbox: str = "bbox") -> DataFrame:
     """Rows whose geometry meets a constant multipolygon given as nested (x, y) lists."""
-    exact = G.intersects(F.col(geom), G.polygon_literal(coords))
+    exact = G.intersects_constant(F.col(geom), coords)
     return in_box(df, G.bounds_of_coords(coords), bbox).where(exact)
 
 

@@ -51,7 +51,10 @@ def write_parquet(
         .option("parquet.compression.codec.zstd.level", level)
         .option("parquet.block.row.count.limit", rows)
     )
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        # An overwrite replaces the partitions it writes and leaves the others.
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def with_partition_keys(df: DataFrame) -> DataFrame:

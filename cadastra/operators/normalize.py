@@ -26,21 +26,23 @@ def coverage_score() -> Column:
     return reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in SCORED])
 
 
-def deduplicate(raw: DataFrame) -> DataFrame:
+def deduplicate(raw: DataFrame, unique_lrid: bool = False) -> DataFrame:
     """Keep the best-covered raw row of each (geoid, resolved id), then the one with the highest lrid.
 
     `row_number() = 1` is planned as a group limit that runs before the shuffle as well, so every map task sends at
     most one row per key: a key holding a large part of the table costs no task more than that. Rows that tie on
-    both criteria are ordered by a hash of their contents, so a recomputed task makes the same choice.
+    both criteria are ordered by a hash of their contents, so a recomputed task makes the same choice. With
+    `unique_lrid` there are no such ties, and only the columns that are used later are read.
     """
-    best_first = W.Window.partitionBy("geoid", "resolved_id").orderBy(
-        F.desc("_score"), F.col("lrid").desc_nulls_first(), F.desc("_content")
-    )
+    order = [F.desc("_score"), F.col("lrid").desc_nulls_first()]
+    if not unique_lrid:
+        order.append(F.desc("_content"))
+    best_first = W.Window.partitionBy("geoid", "resolved_id").orderBy(*order)
     return (
         raw.where(F.col("geoid").isNotNull())
         .withColumn("resolved_id", resolved_id())
         .withColumn("_score", coverage_score())
-        .withColumn("_content", F.xxhash64(*[F.col(c) for c in raw.columns]))
+        .withColumn("_content", F.xxhash64(*raw.columns))
         .withColumn("_rank", F.row_number().over(best_first))
         .where(F.col("_rank") == 1)
         .drop("_score", "_content", "_rank")
@@ -55,13 +57,15 @@ def _to_multipolygon(raw: DataFrame, geom: str) -> Column:
     return G.multi(column) if depth(raw.schema[geom].dataType) == 2 else column
 
 
-def normalize(raw: DataFrame, strict: bool = True, clean_owner: bool = False) -> DataFrame:
+def normalize(
+    raw: DataFrame, strict: bool = True, clean_owner: bool = False, unique_lrid: bool = False
+) -> DataFrame:
     """Typed, deduplicated parcel table from the raw layer.
 
     `strict` casts fail the job on a value out of range; otherwise such values become null and `cast_failures` lists
     them. `clean_owner` upper-cases and trims owner names, which are passed through by default.
     """
-    rows = deduplicate(raw)
+    rows = deduplicate(raw, unique_lrid)
     present = set(raw.columns)
 
     def typed(source: str, kind: str) -> Column:

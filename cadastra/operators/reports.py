@@ -9,6 +9,7 @@ from pyspark.sql import window as W
 from cadastra import lookups
 from cadastra.functions import geometry as G
 from cadastra.functions.display import value_class
+from cadastra.operators.skew import few_groups
 
 # Column of the coverage report <- parcel column.
 COVERAGE = {
@@ -89,6 +90,9 @@ def medians_by(df: DataFrame, keys: list[str], columns: list[str], accuracy: int
         .agg(F.count("*").alias("_n"), bracket.alias("_q"))
         .select(*group, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
     )
+    # One short row per group: broadcast when the groups are few, so the table itself is not shuffled for the bracket.
+    if few_groups(df, keys):
+        sketch = F.broadcast(sketch)
     same_group = G.all_of([F.col(f"v.{c}").eqNullSafe(F.col(f"s.{c}")) for c in group])
     near = (
         long.alias("v")

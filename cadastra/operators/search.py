@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.geometry import Box
+from cadastra.functions.geometry import Box, Coords
 from cadastra.functions.text import contains_ignore_case, trigram_similarity
 from cadastra.operators.filters import in_box, intersecting_polygon, matching
 
@@ -52,7 +52,7 @@ def parcel_bbox_query(
     return rows.orderBy("parcel_id", "geoid").limit(limit)
 
 
-def parcel_geometry_stream(parcels: DataFrame, coords: list[list[list[tuple[float, float]]]]) -> DataFrame:
+def parcel_geometry_stream(parcels: DataFrame, coords: Coords) -> DataFrame:
     """All parcels that meet a polygon."""
     return intersecting_polygon(parcels, coords)
 

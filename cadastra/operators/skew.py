@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_SPLIT = 1_000_000
 HOT_KEYS = 4096
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
+GROUP_LIMIT = 200_000
 
 
 def _bytes(value: Column, kind: T.DataType) -> Column:
@@ -27,12 +28,9 @@ def _bytes(value: Column, kind: T.DataType) -> Column:
     return F.lit(16).cast("bigint")
 
 
-def table_bytes(df: DataFrame) -> Column:
-    """Aggregate expression for the size of a table in bytes."""
-    return F.coalesce(
-        F.sum(reduce(lambda a, b: a + b, [_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])),
-        F.lit(0).cast("bigint"),
-    )
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate size of a row of `df` in bytes, from its values."""
+    return reduce(lambda a, b: a + b, [_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
 
 
 def estimated_small(df: DataFrame) -> bool:
@@ -41,6 +39,11 @@ def estimated_small(df: DataFrame) -> bool:
     return 0 <= int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= threshold
 
 
+def few_groups(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> bool:
+    """True when `df` has at most about `limit` groups (one scan of the key columns, estimated within 5 %)."""
+    return df.agg(F.approx_count_distinct(F.struct(*keys))).first()[0] <= limit
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

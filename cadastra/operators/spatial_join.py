@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 from cadastra.operators.filters import boxes_overlap
-from cadastra.operators.skew import BROADCAST_BYTES, ROWS_PER_SPLIT, salted, table_bytes
+from cadastra.operators.skew import BROADCAST_BYTES, ROWS_PER_SPLIT, row_bytes, salted
 
 # Cell sizes in degrees: from about 100 m, each four times the last, to wider than the world.
 CELL_SIZES = [0.001 * 4**level for level in range(11)]
@@ -68,8 +68,9 @@ def box_pairs(
     The two sides must not share column names; `left_key` identifies the rows of the left side, which is the one that
     may have hot cells. Rows without a box have no partner.
 
-    The right side is measured first (one aggregation: its bytes and the levels it has). A small one is entered at all
-    coarser levels and broadcast; a large one is entered at the levels of the left side, and hot cells are salted.
+    The right side is measured first (one aggregation: its levels, and a bound on its bytes once repeated per cell). A
+    small one is entered at all coarser levels and broadcast; a large one is entered at the levels of the left side, and
+    hot cells are salted.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
@@ -80,11 +81,15 @@ def box_pairs(
         return df.where(b["xmin"].isNotNull() & b["ymin"].isNotNull()).withColumn(f"_level_{side}", _level(b))
 
     lefts, rights = levelled(left, left_box, "l"), levelled(right, right_box, "r")
-    measured = rights.agg(table_bytes(right).alias("bytes"), F.collect_set("_level_r").alias("levels")).first()
+    # Upper bound of the broadcast: four cells at the row's own level and at every coarser one.
+    entries = 4 * (F.lit(len(CELL_SIZES)) - F.col("_level_r"))
+    measured = rights.agg(
+        F.sum(row_bytes(right) * entries).alias("bytes"), F.collect_set("_level_r").alias("levels")
+    ).first()
     levels_right = sorted(measured.levels)
     cells_left = _cells(lefts, left_box, _levels_from("_level_l", levels_right))
     on = ["_at", "_cx", "_cy"]
-    if measured.bytes <= broadcast_bytes:
+    if (measured.bytes or 0) <= broadcast_bytes:
         every = list(range(len(CELL_SIZES)))
         cells_right = _cells(rights, right_box, _levels_from("_level_r", every))
         joined = cells_left.join(F.broadcast(cells_right), on)

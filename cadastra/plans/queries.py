@@ -32,7 +32,7 @@ SIMPLIFY_TOLERANCE = 1e-6
 
 def _parcels(spark: SparkSession, sf_dir: str, *, geometry: bool = False) -> DataFrame:
     raw = S.parcel_raw(spark, sf_dir)
-    return normalize.normalize(raw if geometry else raw.drop("geom"))
+    return normalize.normalize(raw if geometry else raw.drop("geom"), unique_lrid=True)
 
 
 def _box_columns(bbox: str = "bbox", digits: int = 6) -> list[Column]:

@@ -24,8 +24,13 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
 
 def read_hive(spark: SparkSession, path: str) -> DataFrame:
     """Hive-partitioned dataset; directory values stay text, so state=01 is '01'."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.parquet(path)
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def read_flat(spark: SparkSession, directory: str) -> DataFrame:

@@ -70,6 +70,15 @@ def test_medians_equal_sorting(spark):
             assert got[key] == (sum(k == key for k, _ in rows), want)
 
 
+def test_medians_without_broadcast_and_approximate(spark, monkeypatch):
+    df = spark.range(2000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 501).cast("double").alias("v"))
+    want = sorted(reports.medians_by(df, ["k"], ["v"]).collect())
+    monkeypatch.setattr(reports, "few_groups", lambda df, keys: False)
+    assert sorted(reports.medians_by(df, ["k"], ["v"]).collect()) == want
+    near = {r.k: r.median_v for r in reports.approximate_medians_by(df, ["k"], ["v"]).collect()}
+    assert all(abs(near[r.k] - r.median_v) <= 2 for r in want)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(3000).select(F.col("id").alias("a"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 11).alias("k"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 from cadastra.functions.hilbert import hilbert_of_box
-from cadastra.operators import filters, layout, quality
+from cadastra.operators import filters, layout, quality, reports
 from cadastra.plans import jobs
 from cadastra.plans import standins as S
 from cadastra.schemas import PARCEL_RAW
@@ -212,3 +212,39 @@ def test_column_pruning(spark, sf_dir, tmp_path):
 
 def test_geometry_frame_helper(spark):
     assert frame(spark, [(1, [square(0, 0, 1)])]).count() == 1
+
+
+def test_boundary_sources(spark):
+    counties = frame(spark, [("13", "121", [square(-84.5, 33.5, 0.5)]), ("37", "001", [square(0, 0, 1)])],
+                     "STATEFP string, COUNTYFP string")
+    box = reports.county_boxes(counties, "13").collect()
+    assert [tuple(r) for r in box] == [("121", -84.5, 33.5, -84.0, 34.0)]
+    edges = wkb.edges_source(counties.withColumnRenamed("COUNTYFP", "MTFCC"), ["STATEFP", "MTFCC"])
+    assert edges.columns == ["STATEFP", "MTFCC", "geom"]
+
+
+def test_default_query_and_settings(spark, sf_dir):
+    summary = tables.query(raw(spark, sf_dir))
+    assert summary.agg(F.sum("parcels")).first()[0] == 1500
+    settings = tables.object_store_settings("localhost:9000", "key", "secret", secure=False)
+    assert settings["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert tables.blob_path("acct", "parcels", "/x") == "abfss://parcels@acct.dfs.core.windows.net/x"
+
+
+def test_overwrite_replaces_only_the_partitions_it_writes(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "c")
+    source = raw(spark, sf_dir).select("lrid", "statefp", "countyfp", "bbox")
+    layout.write_by_county(source, path, ("lrid",))
+    layout.write_by_county(filters.of_state(source, "13"), path, ("lrid",), overwrite=True)
+    assert tables.read_hive(spark, path).count() == 1500
+
+
+def test_landed_extract_and_append(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "landed")
+    source = raw(spark, sf_dir)
+    tables.append_rows(filters.of_state(source, "13"), path)
+    tables.append_rows(filters.of_state(source, "37"), path)
+    box = (-90.0, 30.0, -70.0, 40.0)
+    found = tables.extract_raw(spark, path, box, "37")
+    assert found.count() == source.where("statefp = '37'").count()
+    assert "EqualTo(statefp,37)" in plan(found)
