@@ -11,6 +11,7 @@ from pyspark.sql import window as W
 
 from cadastra import lookups
 from cadastra.functions import geometry as G
+from cadastra.operators.skew import few_groups
 from cadastra.schemas import PARCEL_COLUMNS
 
 SCORED = ["totalvalue", "yearbuilt", "parceladdr", "ownername"]
@@ -140,8 +141,14 @@ def land_use_codes(parcels: DataFrame, code: str = "use_code", description: str
 
 
 def with_land_use(parcels: DataFrame, codes: DataFrame) -> DataFrame:
-    """Add the lookup description and category of the use code; unknown codes stay null."""
+    """Add the lookup description and category of the use code; unknown codes stay null.
+
+    The lookup has one short row per code and is broadcast when the codes are few; otherwise the adaptive skew join splits
+    a popular code.
+    """
     lookup = codes.select(
         "use_code", F.col("use_description").alias("code_description"), F.col("use_category")
     )
+    if few_groups(parcels, ["use_code"]):
+        lookup = F.broadcast(lookup)
     return parcels.join(lookup, "use_code", "left")

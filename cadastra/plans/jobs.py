@@ -121,7 +121,7 @@ def write_tiles(tiles: DataFrame, path: str) -> None:
 
     The feature's place in the sort order splits crowded tiles over tasks; readers of a tile get a few adjacent row groups.
     """
-    order = ["z", "x", "y", F.xxhash64(F.col("bbox"))]
+    order = ["z", "x", "y", F.xxhash64(*tiles.columns)]
     sorted_tiles = tiles.repartitionByRange(*order).sortWithinPartitions(*order)
     layout.write_parquet(sorted_tiles, path, partition_by=("z",))
 
@@ -129,7 +129,7 @@ def write_tiles(tiles: DataFrame, path: str) -> None:
 def tile_counties(raw: DataFrame, path: str) -> None:
     """County pyramids of all counties in one job; a county is the rows of its own state and county codes."""
     tiles = tiling.pyramid(layout.with_partition_keys(filters.with_box(raw)), "county")
-    order = ["state", "county", "z", "x", "y", F.xxhash64(F.col("bbox"))]
+    order = ["state", "county", "z", "x", "y", F.xxhash64(*tiles.columns)]
     sorted_tiles = tiles.repartitionByRange(*order).sortWithinPartitions(*order)
     layout.write_parquet(sorted_tiles, path, partition_by=("state", "county"))
 
