@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.functions import geometry as G
 from cadastra.lookups import STATE_BOUNDS
@@ -21,9 +22,15 @@ ZONE = 0.25  # side of a zone in degrees
 RASTER_ORIGIN, RASTER_PIXEL = (-125.0, 50.0), (1.5, 1.0)
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. Its schema is read from the files once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

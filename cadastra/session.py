@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Only the partitions present in an overwrite are replaced.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites of every column expression are only for error texts and slow plan building down.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
