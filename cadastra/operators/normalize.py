@@ -67,7 +67,7 @@ def normalize(
     them. `clean_owner` upper-cases and trims owner names, which are passed through by default.
     """
     rows = deduplicate(raw, unique_lrid)
-    present = set(raw.columns)
+    present = dict(raw.dtypes)
 
     def typed(source: str, kind: str) -> Column:
         if source not in present:
@@ -75,6 +75,8 @@ def normalize(
         column = F.col(source)
         if source == "ownername" and clean_owner:
             column = F.upper(F.trim(column))
+        if present[source] == kind:
+            return column
         return column.cast(kind) if strict else column.try_cast(kind)
 
     columns = [typed(source, kind).alias(target) for target, source, kind, _ in PARCEL_COLUMNS]
@@ -83,7 +85,7 @@ def normalize(
     points = [
         G.point(F.col(x), F.col(y)).alias(name)
         for name, x, y in (("centroid", "centroidx", "centroidy"), ("surface_point", "surfpointx", "surfpointy"))
-        if {x, y} <= present
+        if {x, y} <= set(present)
     ]
     return rows.select(
         F.xxhash64("geoid", "resolved_id").alias("id"),
