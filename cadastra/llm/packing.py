@@ -22,7 +22,8 @@ from cadastra.llm.common import buffers, chunks, text_of, written
 from cadastra.llm.pieces import encoder
 
 CAPACITY = 1024
-ROUNDS = 240
+ROUNDS = 8
+RATE = 1.0
 
 
 def cut(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
@@ -55,8 +56,8 @@ _PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "loca
 _PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
 
-def _best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts of each length that fit into `capacity` together with the largest sum of values (unbounded knapsack)."""
+def _price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack for every room up to `capacity`: the best sum of values, and the piece to take first (or -1)."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
@@ -66,47 +67,62 @@ def _best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.
             k = int(total.argmax())
             if total[k] > best[room]:
                 best[room], choice[room] = total[k], k
-    counts, room = np.zeros(len(lengths), np.int64), capacity
+    return best, choice
+
+
+def _pattern(first: int, room: int, lengths: list[int], choice: list[int]) -> dict[int, int]:
+    """Length `first` and the best filling of the `room` beside it, by indices of lengths."""
+    counts = {first: 1}
     while room > 0:
-        if choice[room] < 0:
+        k = choice[room]
+        if k < 0:
             room -= 1
         else:
-            counts[choice[room]] += 1
-            room -= lengths[choice[room]]
+            counts[k] = counts.get(k, 0) + 1
+            room -= lengths[k]
     return counts
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[int, dict[int, int]]]:
-    """Groups of equal sequences for a histogram of lengths: how many, and how many pieces of each length in one."""
+    """Groups of equal sequences for a histogram of lengths: how many, and how many pieces of each length in one.
+
+    Each round prices all lengths by their weights with one knapsack, and covers an equal share of what is left of
+    each length, longest first, with the best pattern that holds it. Weights of covered lengths fall, so the lengths
+    that lag behind are worth more in the next round.
+    """
     lengths = np.array(sorted(x for x, n in histogram.items() if n > 0), np.int64)
-    left = np.array([histogram[int(x)] for x in lengths], np.int64)
+    whole = np.array([histogram[int(x)] for x in lengths], np.int64)
     if not len(lengths):
         return []
-    need = left.astype(float)
-    bound = float(need @ lengths) / capacity
-    covered, weights = np.zeros(len(lengths)), np.ones(len(lengths))
-    patterns: dict[bytes, float] = {}
+    need, rest, weights = whole.astype(float), whole.astype(float).tolist(), np.ones(len(lengths))
+    sizes = lengths.tolist()
+    uses: dict[tuple, float] = {}
     for step in range(rounds):
-        prices = weights * lengths / (weights @ (lengths * need) / (lengths @ need))
-        pattern = _best_pattern(lengths, prices, capacity)
-        # the pattern is used until a tenth of the sequences, or one of its lengths, is done
-        uses = min(bound / 10, float(np.min(need[pattern > 0] / pattern[pattern > 0])))
-        patterns[pattern.tobytes()] = patterns.get(pattern.tobytes(), 0.0) + uses
-        gain = uses * pattern / need
-        covered += gain
-        weights *= np.exp(-2.0 * gain)
-        weights /= weights.max()
-        if covered.min() >= 1 + step / rounds:
+        live = [k for k in range(len(sizes)) if rest[k] > 1e-9 * whole[k]]
+        if not live:
             break
-    scale = 1.0 / max(1.0, float((covered * need) @ lengths / (lengths @ need)))
+        _, chosen = _price(lengths[live], (weights * lengths)[live], capacity)
+        choice = [live[k] if k >= 0 else -1 for k in chosen.tolist()]
+        before = np.array(rest)
+        for k in reversed(live):
+            pattern = _pattern(k, capacity - sizes[k], sizes, choice)
+            share = min(before[k] / (rounds - step) / pattern[k], min(rest[i] / n for i, n in pattern.items()))
+            if share > 0:
+                for i, n in pattern.items():
+                    rest[i] = max(0.0, rest[i] - share * n)
+                key = tuple(sorted(pattern.items()))
+                uses[key] = uses.get(key, 0.0) + share
+        weights *= np.exp(-RATE * (before - rest) / need)
+        weights /= weights.max()
+    left = whole.copy()
     groups: list[tuple[int, dict[int, int]]] = []
-    for key, uses in sorted(patterns.items(), key=lambda x: (-x[1], x[0])):
-        pattern = np.frombuffer(key, np.int64)
-        count = min(int(uses * scale), int(np.min(left[pattern > 0] // pattern[pattern > 0])))
+    for key, amount in sorted(uses.items(), key=lambda x: (-x[1], x[0])):
+        count = min(int(amount), *(int(left[k]) // n for k, n in key))
         if count > 0:
-            left -= count * pattern
-            groups.append((count, {int(lengths[k]): int(pattern[k]) for k in np.flatnonzero(pattern)}))
-    return _fill(groups, {int(x): int(n) for x, n in zip(lengths, left, strict=True)}, capacity)
+            for k, n in key:
+                left[k] -= count * n
+            groups.append((count, {sizes[k]: n for k, n in key}))
+    return _fill(groups, dict(zip(sizes, left.tolist(), strict=True)), capacity)
 
 
 def _fill(groups: list[tuple[int, dict[int, int]]], left: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
