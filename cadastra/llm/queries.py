@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastra.llm import byte_bpe, line_dedup, packing, token_files
+from cadastra.llm import byte_bpe, line_dedup, packing, quality, token_files, toxicity
 from cadastra.llm.common import table, written
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op2_line_dedup"] = line_dedup.ORACLE
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 1024 tokens."""
