@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadastra.llm import byte_bpe, line_dedup, packing, quality, token_files, toxicity
+from cadastra.llm import byte_bpe, line_dedup, packing, quality, token_files, top_k, toxicity
 from cadastra.llm.common import table, written
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest integer inner products of every hundredth vector."""
+    return top_k.search(top_k.integer_vectors(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+LLM_ORACLES["op4_exact_top_k"] = top_k.ORACLE
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of each document."""
