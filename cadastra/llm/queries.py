@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import byte_bpe, line_dedup, minhash, packing, quality, token_files, top_k, toxicity
+from cadastra.llm import byte_bpe, line_dedup, minhash, packing, quality, substring_dedup, token_files, top_k, toxicity
 from cadastra.llm.common import table, written
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that an earlier document has too."""
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles are 85 % alike."""
