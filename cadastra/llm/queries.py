@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import byte_bpe, line_dedup, minhash, packing, quality, substring_dedup, token_files, top_k, toxicity
+from cadastra.llm import byte_bpe, line_dedup, minhash, neighbours, packing, quality, substring_dedup, token_files, top_k, toxicity
 from cadastra.llm.common import table, written
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,12 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return neighbours.search(neighbours.usable(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that at least three documents share, dropped from all but one."""
