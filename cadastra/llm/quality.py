@@ -131,13 +131,12 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of `docs`.
+def trained(docs: DataFrame, labels: DataFrame) -> tuple[Discriminant | float, DataFrame]:
+    """The model, and the table of doc_id and `stats` of all documents.
 
     Statistics come from whole texts and are written once; the class sums come from all labelled rows that are not
-    held out, one row from each task. Null and empty texts have the statistics of no words. Repeated labels of a
-    document count once (the larger one); null labels and other columns are left out. Without labels of both classes
-    every score is the one label known, or 0.5.
+    held out, one row from each task. Repeated labels of a document count once (the larger one); null labels are left
+    out. Without labels of both classes the model is the one label known, or 0.5, as a constant score.
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,12 +174,36 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     m = len(STATISTICS)
     rows = {r["label"]: (r["n"], np.array(r["total"]), np.array(r["outer_sum"]).reshape(m, m)) for r in merged.collect()}
-    model = fit(rows)
+    return fit(rows), measured
+
+
+def _scores(model: Discriminant | float, rows: np.ndarray) -> np.ndarray:
+    return np.full(len(rows), model) if isinstance(model, float) else model.score(rows)
+
+
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row of `docs`; see `trained`.
+
+    Null and empty texts have the statistics of no words. Null doc_ids are scored too; other columns are left out.
+    """
+    model, measured = trained(docs, labels)
 
     @F.arrow_udf("double")
     def score(stats: pa.Array) -> pa.Array:
-        values = stats.flatten().to_numpy().reshape(-1, m)
-        return pa.array(np.full(len(values), model) if isinstance(model, float) else model.score(values))
+        return pa.array(_scores(model, stats.flatten().to_numpy().reshape(-1, len(STATISTICS))))
 
     result = measured.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score("stats").alias("score"))
     return result.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose score is 0.5 or more. Rows are judged where they are, unshuffled."""
+    model, _ = trained(docs, labels)
+
+    @F.arrow_udf("boolean")
+    def keep(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = [_scores(model, statistics(*buffers(part.column("text")))) for part in chunks(iter([batch]), "text")]
+        return pa.array(np.concatenate([np.zeros(0), *parts]) >= 0.5)
+
+    return docs.where(keep(F.coalesce(F.col("text").cast("string"), F.lit(""))))
