@@ -55,13 +55,8 @@ def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     return pairs.where("doc_id <> keeper").groupBy("doc_id").agg(F.collect_set("key").alias("lost"))
 
 
-def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """`docs` with n_lines (before), n_dropped and kept_text in place of text; other columns stay.
-
-    Lines end at \\n; a null or empty text is one empty line. Keys of at least `min_chars` code points that at least
-    `min_docs` documents hold lose all their lines except in the largest doc_id with the key. The lines that stay are
-    joined by \\n. A document with a null doc_id shares no key with others and keeps its lines.
-    """
+def _with_kept(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """`docs` and `_kept`: n_lines, n_dropped, kept_text."""
     lost = shared_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("_lost_doc"), F.col("lost").alias("_lost"))
     joined = docs.join(lost, F.col("doc_id").cast("long") == F.col("_lost_doc"), "left").drop("_lost_doc")
 
@@ -82,12 +77,22 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
             [pa.array(counts, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())], ["n_lines", "n_dropped", "kept_text"]
         )
 
-    return joined.withColumn("_kept", keep("text", "_lost")).drop("text", "_lost").select("*", "_kept.*").drop("_kept")
+    return joined.withColumn("_kept", keep("text", "_lost")).drop("_lost")
+
+
+def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """`docs` with the lines dropped from its texts; other columns stay, a null text becomes empty.
+
+    Lines end at \\n; a null or empty text is one empty line. Keys of at least `min_chars` code points that at least
+    `min_docs` documents hold lose all their lines except in the largest doc_id with the key. The lines that stay are
+    joined by \\n. A document with a null doc_id shares no key with others and keeps its lines.
+    """
+    return _with_kept(docs, min_chars, min_docs).withColumn("text", F.col("_kept.kept_text")).select(*docs.columns)
 
 
 def digests(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the SHA-256 of the kept text."""
-    kept = drop_lines(text_of(docs), min_chars, min_docs)
+    """doc_id, n_lines (before), n_dropped and the SHA-256 of the kept text, by the rules of `drop_lines`."""
+    kept = _with_kept(text_of(docs), min_chars, min_docs).select("doc_id", "_kept.*")
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 

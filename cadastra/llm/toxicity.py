@@ -86,9 +86,23 @@ def train(
     row_a, column_a = sparse([sorted(set(a) - set(b)) for a, b in pairs])
     row_b, column_b = sparse([sorted(set(b) - set(a)) for a, b in pairs])
     weight = np.where(labels == 1, n / 2 / max(1, labels.sum()), n / 2 / max(1, n - labels.sum())) / n
+    def curved(v: np.ndarray, v_bias: float) -> tuple[np.ndarray, float]:
+        """The largest curvature that the objective can have, times a vector."""
+        bend = weight * (np.bincount(row, v[column], minlength=n) + v_bias) / 4
+        out = np.bincount(column, bend[row], minlength=size) + RIDGE * v
+        if pairs:
+            bent = 2 * penalty / len(pairs) * (np.bincount(row_a, v[column_a], minlength=len(pairs)) - np.bincount(row_b, v[column_b], minlength=len(pairs)))
+            out += np.bincount(column_a, bent[row_a], minlength=size) - np.bincount(column_b, bent[row_b], minlength=size)
+        return out, float(bend.sum())
+
+    v, v_bias, most = np.ones(size), 1.0, 1.0
+    for _ in range(30):  # power iteration: the step must be shorter than one over the largest curvature
+        v, v_bias = curved(v, v_bias)
+        most = max(float(np.sqrt(v @ v + v_bias**2)), 1e-12)
+        v, v_bias = v / most, v_bias / most
     w, bias = np.zeros(size), 0.0
     momentum, momentum_bias = w.copy(), bias
-    rate = 1.0
+    rate = 0.8 / most
     for step in range(STEPS):
         score = np.bincount(row, momentum[column], minlength=n) + momentum_bias
         error = weight * (1 / (1 + np.exp(-np.clip(score, -50, 50))) - labels)
