@@ -353,14 +353,52 @@ def snapped(geom: Column) -> Column:
     return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, snap)))
 
 
+def _near(x: Column, y: Column, e: Column) -> Column:
+    """A point is at most one grid step away from a segment."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    off = dx * (y - e["y1"]) - dy * (x - e["x1"])
+    return (
+        (x >= F.least(e["x1"], e["x2"]) - 1) & (x <= F.greatest(e["x1"], e["x2"]) + 1)
+        & (y >= F.least(e["y1"], e["y2"]) - 1) & (y <= F.greatest(e["y1"], e["y2"]) + 1)
+        & (off * off <= F.greatest(dx * dx + dy * dy, F.lit(1.0)))
+    )
+
+
+def _rims_near(a: Column, b: Column) -> Column:
+    """Boundaries cross, or a vertex of one lies on the other as far as the snapping grid can tell."""
+
+    def meet(p: Column, q: Column) -> Column:
+        return (
+            _near(q["x1"], q["y1"], p) | _near(q["x2"], q["y2"], p) | _near(p["x1"], p["y1"], q) | _near(p["x2"], p["y2"], q)
+            | _segments_meet(p, q)
+        )
+
+    return F.exists(edges(a), lambda p: F.exists(edges(b), lambda q: meet(p, q)))
+
+
+def _perimeter(geom: Column) -> Column:
+    return F.aggregate(edges(geom), F.lit(0.0), lambda acc, e: acc + F.hypot(e["x2"] - e["x1"], e["y2"] - e["y1"]))
+
+
 def touches(a: Column, b: Column) -> Column:
-    """Boundaries meet and interiors do not, for multipolygons already on the snapping grid."""
-    # Rounding of the area sum only; a sliver one grid step wide is far above it.
+    """Boundaries meet and interiors do not, for multipolygons already on the snapping grid.
+
+    Snapping moves a vertex off a slanted edge that it lies on by up to one grid step. So that far counts as on the edge,
+    and a common sliver of one step along the boundaries counts as none. Coordinates are taken from the first vertex of
+    `a`, so that their products stay exact.
+    """
+
     def test(v: Column) -> Column:
-        slack = F.aggregate(v, F.lit(0.5), lambda acc, g: acc + F.lit(1e-12) * area(g))
-        return intersects(v[0], v[1]) & (overlap_area(v[0], v[1]) <= slack)
+        slack = F.lit(0.5) + F.lit(0.5) * (_perimeter(v[0]) + _perimeter(v[1]))
+        return _rims_near(v[0], v[1]) & (overlap_area(v[0], v[1]) <= slack)
+
+    def moved(v: Column) -> Column:
+        origin = v[0][0][0][0]
+        return F.transform(v, lambda g: F.transform(g, lambda poly: F.transform(poly, lambda ring: F.transform(
+            ring, lambda p: F.struct((p["x"] - origin["x"]).alias("x"), (p["y"] - origin["y"]).alias("y"))
+        ))))
 
-    return let(F.array(a, b), test)
+    return let(let(F.array(a, b), moved), test)
 
 
 def within(a: Column, b: Column, tolerance: float = 1e-9) -> Column:

@@ -16,6 +16,7 @@ from cadastra.functions import geometry as G
 from cadastra.operators.filters import boxes_overlap
 from cadastra.operators.skew import BROADCAST_BYTES, ROWS_PER_SPLIT, row_bytes, salted
 
+SLIVER = 1e-9  # share of the smaller geometry below which a common area counts as none
 # Cell sizes in degrees: from about 100 m, each four times the last, to wider than the world.
 CELL_SIZES = [0.001 * 4**level for level in range(11)]
 
@@ -137,12 +138,17 @@ def intersecting_pairs(
 def overlap_shares(
     left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, left_box: str, right_box: str, key: list[str]
 ) -> DataFrame:
-    """Pairs with a common area, and the share of the left geometry it makes up."""
+    """Pairs with a common area, and the share of the left geometry it makes up.
+
+    The area is a sum with rounding errors, so pairs that only share an edge are told apart by SLIVER: a common part of
+    less than that share of the smaller geometry is none.
+    """
     pairs = box_pairs(left, right, left_box, right_box, key)
-    shared = pairs.withColumn("overlap_area", G.overlap_area(F.col(left_geom), F.col(right_geom)))
-    return shared.where(F.col("overlap_area") > 0).withColumn(
-        "overlap_share", F.col("overlap_area") / G.area(F.col(left_geom))
-    )
+    shared = pairs.withColumns({
+        "overlap_area": G.overlap_area(F.col(left_geom), F.col(right_geom)), "_area": G.area(F.col(left_geom))
+    })
+    least = F.lit(SLIVER) * F.least(F.col("_area"), G.area(F.col(right_geom)))
+    return shared.where(F.col("overlap_area") > least).withColumn("overlap_share", F.col("overlap_area") / F.col("_area")).drop("_area")
 
 
 def contained_in(
