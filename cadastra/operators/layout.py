@@ -18,6 +18,7 @@ STATE_LAYOUT = {"level": 3, "rows": 50_000}
 COUNTY_LAYOUT = {"level": 9, "rows": 10_000}
 
 UNASSIGNED = "unassigned"
+PUBLISHED = "_published"
 
 
 def _sorted_by(df: DataFrame, keys: list[str], tie: list[str], partitions: int | None) -> DataFrame:
@@ -95,20 +96,28 @@ def write_by_county(
     df: DataFrame, path: str, tie: tuple[str, ...] = ("parcel_id",), partitions: int | None = None,
     overwrite: bool = False,
 ) -> None:
-    """Publish path/state=XX/county=YYY/; counties already there are skipped unless `overwrite`."""
+    """Publish path/state=XX/county=YYY/; counties already published are skipped unless `overwrite`.
+
+    A county counts as published when its entry is in path/_published, which is written after the data. What a run that
+    died left behind has no entry and is replaced.
+    """
+    keys = ["state", "county"]
     rows = with_partition_keys(with_box(df))
     if not overwrite:
-        rows = skip_existing(rows, path, ["state", "county"])
-    ordered = _in_group_order(rows, ["state", "county"], tie, partitions)
-    write_parquet(ordered, path, **COUNTY_LAYOUT, partition_by=("state", "county"),
-                  mode="overwrite" if overwrite else "append")
+        rows = skip_existing(rows, path, keys)
+    ordered = _in_group_order(rows, keys, tie, partitions)
+    write_parquet(ordered, path, **COUNTY_LAYOUT, partition_by=tuple(keys))
+    if path_exists(df.sparkSession, f"{path.rstrip('/')}/{keys[0]}=*"):
+        stored = read_hive(df.sparkSession, path).groupBy(*keys).agg(F.count("*").alias("n"))
+        stored.write.mode("append").json(f"{path.rstrip('/')}/{PUBLISHED}")
 
 
 def existing_partitions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
-    """Partition keys already published under a path, or None when there is nothing."""
-    if not path_exists(spark, f"{path.rstrip('/')}/{keys[0]}=*"):
+    """Partition keys already published under a path, from its entries, or None when there is nothing."""
+    entries = f"{path.rstrip('/')}/{PUBLISHED}"
+    if not path_exists(spark, f"{entries}/_SUCCESS"):
         return None
-    return read_hive(spark, path).select(*keys).distinct()
+    return spark.read.schema(", ".join(f"{k} string" for k in keys)).json(entries).distinct()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

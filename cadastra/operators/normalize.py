@@ -104,7 +104,7 @@ def cast_failures(raw: DataFrame, key: str = "lrid") -> DataFrame:
         F.struct(F.lit(source).alias("column"), F.col(source).cast("string").alias("value"),
                  (F.col(source).isNotNull() & F.col(source).try_cast(kind).isNull()).alias("bad"))
         for _, source, kind, _ in PARCEL_COLUMNS
-        if source in raw.columns and kind not in ("string", "date")
+        if source in raw.columns and kind != "string"
     ]
     return (
         raw.select(key, F.explode(F.filter(F.array(*checked), lambda c: c["bad"])).alias("f"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SPLIT = 1_000_000
-HOT_KEYS = 4096
 BROADCAST_BYTES = 256 * 1024 * 1024
 GROUP_LIMIT = 200_000
 
@@ -54,10 +53,10 @@ def salted_join(
 ) -> DataFrame:
     """Join where keys of `left` may be hot: their rows are spread over salts and `right` is repeated per salt.
 
-    Only keys above `rows_per_split` are salted; a right row of any other key is not repeated. The hot-key table
-    holds the 4,096 largest keys, so its size is bounded; every key beyond them has under 1/4096 of the rows and
-    needs no salt. `salt_by` names columns of `left` that differ between the rows of a key. No row is dropped, so
-    the result equals the plain join for inner, left, left_semi and left_anti.
+    Only keys above `rows_per_split` are salted, each of them: there are at most rows / rows_per_split of them, and Spark
+    chooses how to join that list. A right row of any other key is not repeated. `salt_by` names columns of `left` that
+    differ between the rows of a key. Left rows with a null key have no partner and are not shuffled for one. No row is
+    dropped, so the result equals the plain join for inner, left, left_semi and left_anti.
 
     A right side that Spark estimates to be under its broadcast threshold is left to it; then no key is shuffled.
     """
@@ -70,23 +69,27 @@ def salted(
     left: DataFrame, right: DataFrame, on: list[str], salt_by: list[str], how: str, rows_per_split: int
 ) -> DataFrame:
     """The salted form of `salted_join`, for a right side known to be large."""
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
     hot = (
-        left.groupBy(*on)
+        left.where(keyed)
+        .groupBy(*on)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > rows_per_split)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(HOT_KEYS)
         .select(*on, F.ceil(F.col("_rows") / rows_per_split).cast("int").alias("_splits"))
     )
     splits = F.coalesce(F.col("_splits"), F.lit(1))
     salted_left = (
-        left.join(F.broadcast(hot), on, "left")
+        left.where(keyed)
+        .join(hot, on, "left")
         .withColumn("_salt", F.pmod(F.xxhash64(*salt_by), splits).cast("int"))
         .drop("_splits")
     )
     salted_right = (
-        right.join(F.broadcast(hot), on, "left")
+        right.join(hot, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
         .drop("_splits")
     )
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    joined = salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    if how in ("left", "left_anti"):
+        return joined.unionByName(left.where(~keyed), allowMissingColumns=True)
+    return joined

@@ -83,11 +83,13 @@ def tile_features(
     return spread.drop("_x0", "_x1", "_y0", "_y1")
 
 
-def pyramid(df: DataFrame, preset: str, draw: Column | None = None, **columns: str) -> DataFrame:
-    """Tile rows with one of the presets."""
+def pyramid(
+    df: DataFrame, preset: str, draw: Column | None = None, key: tuple[str, ...] = ("id",), **columns: str
+) -> DataFrame:
+    """Tile rows with one of the presets. Thinning draws by `key`, the columns that name a feature, unless `draw` is given."""
     settings = PRESETS[preset]
     if "drop_rate" in settings and draw is None:
-        draw = draw_of("id")
+        draw = draw_of(*key)
     return tile_features(df, draw=draw, **settings, **columns)
 
 

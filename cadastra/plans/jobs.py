@@ -38,14 +38,17 @@ def publish_state(raw: DataFrame, statefp: str, root: str) -> str:
 
 
 def states_extract(raw: DataFrame) -> DataFrame:
-    """Rows of all states that have bounds, each checked against its own bounds: one job, not one per state."""
+    """Rows of all states, each checked against its own bounds: one job, not one per state.
+
+    A state without bounds is kept whole, as in `filters.state_extract`; so are rows with an unknown state code.
+    """
     from cadastra.functions import geometry as G
 
     bounds = lookups.state_bounds(raw.sparkSession).select(
         "statefp", F.struct("xmin", "ymin", "xmax", "ymax").alias("_state_box")
     )
     rows = filters.with_box(raw)
-    joined = rows.join(F.broadcast(bounds), "statefp")
+    joined = rows.join(F.broadcast(bounds), "statefp", "left")
     box, state_box = F.col("bbox"), F.col("_state_box")
     # A feature whose box lies inside the bounds needs no exact test.
     inside = (
@@ -55,7 +58,7 @@ def states_extract(raw: DataFrame) -> DataFrame:
     meets = filters.boxes_overlap(box, state_box)
     if "geom" in rows.columns:
         meets = meets & (inside | G.intersects_box(F.col("geom"), state_box))
-    return joined.where(meets).select(*rows.columns)
+    return joined.where(state_box.isNull() | meets).select(*rows.columns)
 
 
 def publish_all_states(raw: DataFrame, root: str) -> None:
@@ -116,6 +119,11 @@ def run_extract(raw: DataFrame, request: ExtractRequest, root: str, url: str | N
     return written
 
 
+def tile_state(raw: DataFrame, statefp: str, path: str, key: tuple[str, ...] = ("lrid",)) -> None:
+    """The thinned pyramid of one state; `key` names a feature, and its draw decides where it stays visible."""
+    write_tiles(tiling.pyramid(filters.with_box(filters.of_state(raw, statefp)), "state", key=key), path)
+
+
 def write_tiles(tiles: DataFrame, path: str) -> None:
     """Tile rows under path/z=N, sorted by tile.
 
@@ -145,7 +153,7 @@ def incremental_state(raw: DataFrame, statefp: str, root: str) -> dict[str, str]
     spark = raw.sparkSession
     base = root.rstrip("/")
     state_path = f"{base}/by_state/state={statefp}"
-    if not layout.path_exists(spark, state_path):
+    if not layout.path_exists(spark, f"{state_path}/_SUCCESS"):  # a write that ended leaves this file
         publish_state(raw, statefp, f"{base}/by_state")
     county_path = f"{base}/by_county"
     layout.write_by_county(spark.read.parquet(state_path), county_path, TIE)

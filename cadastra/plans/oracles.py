@@ -24,8 +24,8 @@ base AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nat ON n_nationkey = c_nationkey),
 raw AS (
   SELECT k AS lrid,
-    CASE WHEN k % 11 <> 0 THEN 'P' || CAST(k % 601 AS VARCHAR) END AS parcelid,
-    CASE WHEN k % 13 <> 0 THEN 'A' || CAST(k % 601 AS VARCHAR) END AS parcelid2,
+    CASE WHEN k % 11 <> 0 THEN 'P' || CAST(k // 3 AS VARCHAR) END AS parcelid,
+    CASE WHEN k % 13 <> 0 THEN 'A' || CAST(k // 3 AS VARCHAR) END AS parcelid2,
     statefp, countyfp,
     CASE WHEN k % 97 <> 0 THEN statefp || countyfp END AS geoid,
     CAST(year(o_orderdate) AS INTEGER) AS taxyear,
@@ -81,7 +81,7 @@ zone AS (
 
 LOTS = """
 lot AS (
-  SELECT p_partkey AS lot_id, p_brand, p_partkey % 61 AS c, (p_partkey // 61) % 50000 AS r FROM part),
+  SELECT p_partkey AS lot_id, p_brand, p_partkey % 61 + 61 * (p_partkey // 3050000) AS c, (p_partkey // 61) % 50000 AS r FROM part),
 lotbox AS (
   SELECT *, CAST(-84.5 AS DOUBLE) + c * CAST(0.0005 AS DOUBLE) AS lx0, CAST(31.0 AS DOUBLE) + r * CAST(0.0005 AS DOUBLE) AS ly0,
     CAST(-84.5 AS DOUBLE) + (c + 1) * CAST(0.0005 AS DOUBLE) AS lx1,
@@ -232,7 +232,8 @@ GROUP BY p.geoid, state_abbr, county_name""",
     "cast_failures": f"""
 WITH {RAW}
 SELECT lrid, 'numunits' AS "column", CAST((lrid * 7) % 100000 AS VARCHAR) AS value
-FROM raw WHERE (lrid * 7) % 100000 > 32767""",
+FROM raw WHERE (lrid * 7) % 100000 > 32767
+UNION ALL SELECT lrid, 'saledate', 'day ' || CAST(lrid AS VARCHAR) FROM raw WHERE lrid % 10 = 3""",
     "fips_summary": f"""
 WITH {RAW}
 SELECT statefp || countyfp AS fips, count(*) AS parcels, count(parceladdr) AS has_address,
@@ -273,8 +274,9 @@ WHERE parcel_id = 'P42'""",
 WITH {RAW} SELECT lrid, statefp, countyfp FROM raw
 WHERE statefp = '37' AND xmin <= -75.46 AND xmax >= -84.32 AND ymin <= 36.59 AND ymax >= 33.84""",
     "all_states_extract": f"""
-WITH {RAW} SELECT statefp, countyfp, count(*) AS n FROM raw JOIN st ON fips = statefp
-WHERE xmin <= x1 AND xmax >= x0 AND ymin <= y1 AND ymax >= y0 GROUP BY statefp, countyfp""",
+WITH {RAW}, far AS (SELECT *, CASE WHEN lrid % 9 = 4 THEN '02' ELSE statefp END AS s FROM raw)
+SELECT s AS statefp, countyfp, count(*) AS n FROM far LEFT JOIN st ON fips = s
+WHERE fips IS NULL OR (xmin <= x1 AND xmax >= x0 AND ymin <= y1 AND ymax >= y0) GROUP BY s, countyfp""",
     "box_extract": f"WITH {RAW} SELECT lrid, statefp FROM raw WHERE {SEARCH}",
     "county_selection": f"""
 WITH {RAW} SELECT lrid, parcelid, totalvalue FROM raw WHERE statefp = '13' AND countyfp = '001'""",
@@ -297,7 +299,7 @@ SELECT count(*) AS total_edges, count(DISTINCT event_type) AS mtfcc_types,
 WITH {RAW} SELECT count(*) AS n, round(min(xmin), 6) AS xmin, round(max(xmax), 6) AS xmax FROM raw""",
     "hilbert_order": f"WITH {RAW}, h AS ({_hilbert()}) SELECT lrid, CAST(d AS BIGINT) AS hilbert FROM h",
     "union_by_name": f"""
-WITH {RAW} SELECT lrid, statefp, totalvalue, NULL::INTEGER AS yearbuilt FROM raw WHERE statefp = '13'
+WITH {RAW} SELECT lrid, statefp, totalvalue, NULL::INTEGER AS yearbuilt FROM raw WHERE statefp IN ('12', '13', '48')
 UNION ALL BY NAME SELECT statefp, lrid, yearbuilt FROM raw WHERE statefp = '37'
 UNION ALL BY NAME SELECT lrid, statefp, yearbuilt, totalvalue FROM raw WHERE statefp = '06'""",
     "pip_enrich": f"""
@@ -333,13 +335,13 @@ SELECT p_brand, round(-84.5::DOUBLE + c1 * 0.0005::DOUBLE, 5) AS x1, round(31.0:
 FROM outer_side""",
     "raster_sample": f"""
 WITH {RAW}, px AS (
-  SELECT (event_id // 40) % 27 AS row, event_id % 40 AS col, avg(value) AS value FROM events GROUP BY 1, 2),
+  SELECT event_id // 40 AS row, event_id % 40 AS col, avg(value) AS value FROM events GROUP BY 1, 2),
 spot AS (SELECT lrid, CAST(floor((50.0 - centroidy) / 1.0) AS BIGINT) AS row,
   CAST(floor((centroidx + 125.0) / 1.5) AS BIGINT) AS col FROM raw)
 SELECT lrid, s.row, s.col, round(round(value, 4), 3) AS value FROM spot s LEFT JOIN px ON px.row = s.row AND px.col = s.col""",
     "property_match": f"""
 WITH {RAW}, prop AS (
-  SELECT c_custkey AS pid, CASE WHEN c_custkey % 3 = 0 THEN 'P' || CAST(c_custkey % 601 AS VARCHAR) END AS ref,
+  SELECT c_custkey AS pid, CASE WHEN c_custkey % 3 = 0 THEN 'P' || CAST(c_custkey * 2 AS VARCHAR) END AS ref,
     CAST(100 + c_custkey % 900 AS VARCHAR) || ' peachtree st ' || CAST(c_custkey % 40 AS VARCHAR) AS addr FROM customer),
 by_ref AS (SELECT ref, min(pid) AS p, count(*) AS n FROM prop WHERE ref IS NOT NULL GROUP BY ref),
 by_addr AS (SELECT addr, min(pid) AS p, count(*) AS n FROM prop GROUP BY addr)
@@ -428,12 +430,30 @@ WITH {RAW} SELECT lrid, 5 + CAST(lrid % 2 = 0 AS INTEGER) AS vertices,
     "layout_roundtrip": f"WITH {RAW} SELECT statefp AS state, countyfp AS county, lrid, totalvalue, {BOX} FROM raw",
     "incremental_counties": f"""
 WITH {RAW} SELECT statefp AS state, countyfp AS county, count(*) AS n FROM raw GROUP BY statefp, countyfp""",
+    "raw_key_layout": f"WITH {RAW} SELECT statefp, countyfp, lrid, totalvalue FROM raw",
+    "cell_layout": f"WITH {RAW} SELECT lrid, {BOX} FROM raw",
+    "box_extract_files": f"WITH {RAW} SELECT lrid, statefp FROM raw WHERE {SEARCH}",
+    "county_parallel_state": f"WITH {RAW} SELECT lrid, countyfp FROM raw WHERE statefp = '48'",
+    "published_states": f"""
+WITH {RAW} SELECT statefp AS state, lrid FROM raw JOIN st ON fips = statefp
+WHERE xmin <= x1 AND xmax >= x0 AND ymin <= y1 AND ymax >= y0""",
+    "incremental_state": f"""
+WITH {RAW} SELECT countyfp AS county, count(*) AS n FROM raw JOIN st ON fips = statefp
+WHERE statefp = '37' AND xmin <= x1 AND xmax >= x0 AND ymin <= y1 AND ymax >= y0 GROUP BY countyfp""",
+    "owners_cleaned": f"WITH {PARCEL} SELECT parcel_id, geoid, upper(trim(owner_name)) AS owner_name FROM parcel",
+    "created_rows": f"WITH {PARCEL} SELECT geoid, count(*) AS n, count(*) AS with_time FROM parcel GROUP BY geoid",
+    "attribute_rows": f"WITH {RAW} SELECT lrid, statefp, usedesc, assdacres FROM raw",
+    "manifest_extent": f"WITH {RAW} SELECT {EXTENT}, count(*) AS n FROM raw",
+    "layout_overlap": f"""
+WITH {RAW} SELECT count(*) AS n, true AS sorted_is_tight, true AS unsorted_is_wide FROM raw""",
     "partition_manifest": f"WITH {RAW} SELECT statefp AS state, count(*) AS n, {EXTENT} FROM raw GROUP BY statefp",
     "refreshed_version": f"""
 WITH {PARCEL} SELECT geoid, count(*) AS n, CAST(sum(total_value) AS BIGINT) AS total_value FROM parcel GROUP BY geoid""",
     "dataset_inventory": "\nUNION ALL ".join(
         f"SELECT '{t}.parquet' AS name, 'parquet' AS format, count(*) AS n FROM {t}"
-        for t in ("orders", "customer", "supplier", "part", "events", "nation", "region", "lineitem")
+        for t in (
+            "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+        ).split()
     ),
     "column_profile": f"WITH {RAW}\n" + "\nUNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, count({c}) AS non_null, CAST(min({c}) AS VARCHAR) AS min_value,"

@@ -71,7 +71,8 @@ def parcel_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("lrid")
-    raw = S.parcel_raw(spark, sf_dir).withColumn("numunits", ((k * 7) % 100000).cast("int"))
+    date = F.when(k % 10 == 3, F.concat(F.lit("day "), k.cast("string"))).otherwise(F.col("saledate").cast("string"))
+    raw = S.parcel_raw(spark, sf_dir).withColumns({"numunits": ((k * 7) % 100000).cast("int"), "saledate": date})
     return normalize.cast_failures(raw)
 
 
@@ -167,7 +168,8 @@ def cross_border_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_states_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jobs.states_extract(S.raw_multi(spark, sf_dir))
+    code = F.when(F.col("lrid") % 9 == 4, "02").otherwise(F.col("statefp"))  # a state without bounds
+    found = jobs.states_extract(S.raw_multi(spark, sf_dir).withColumn("statefp", code))
     return reports.counts_by(found, "statefp", "countyfp", name="n")
 
 
@@ -227,7 +229,7 @@ def hilbert_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.parcel_raw(spark, sf_dir)
     parts = [
-        filters.of_state(raw, "13").select("lrid", "statefp", "totalvalue"),
+        *[filters.of_state(raw, s).select("lrid", "statefp", "totalvalue") for s in ("12", "13", "48")],
         filters.of_state(raw, "37").select("statefp", "lrid", "yearbuilt"),
         filters.of_state(raw, "06").select("lrid", "statefp", "yearbuilt", "totalvalue"),
     ]
@@ -461,6 +463,9 @@ def incremental_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/by_county"
     raw = S.raw_multi(spark, sf_dir).select("lrid", "statefp", "countyfp", "bbox")
     layout.write_by_county(filters.of_state(raw, "13"), path, ("lrid",))
+    # what a run that died leaves: some rows of some counties, without an entry
+    half = layout.by_county(filters.of_state(raw, "37").where(F.col("lrid") % 3 == 0), ("lrid",))
+    layout.write_parquet(half, path, partition_by=("state", "county"))
     layout.write_by_county(raw, path, ("lrid",))
     return reports.counts_by(tables.read_hive(spark, path), "state", "county", name="n")
 
@@ -473,10 +478,74 @@ def partition_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/sorted"
     raw = S.raw_multi(spark, sf_dir).select("lrid", "bbox")
-    layout.write_parquet(layout.hilbert_sorted(raw, tie=("lrid",)), path)
-    return layout.layout_quality(spark.read.parquet(path), 1000)
+    found = []
+    for name, df in (("sorted", layout.hilbert_sorted(raw, tie=("lrid",))), ("plain", raw)):
+        path = f"{shared_folder(spark)}/{name}"
+        layout.write_parquet(df, path)
+        found.append(layout.layout_quality(spark.read.parquet(path), 100).select("n", F.col("mean_share").alias(name)))
+    return found[0].join(found[1], "n").select(
+        "n", (F.col("sorted") < 0.15).alias("sorted_is_tight"), (F.col("plain") > 0.3).alias("unsorted_is_wide")
+    )
+
+
+def raw_key_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/by_raw_keys"
+    layout.write_by_raw_keys(S.raw_multi(spark, sf_dir), path, ("lrid",))
+    return tables.read_hive(spark, path).select("statefp", "countyfp", "lrid", "totalvalue")
+
+
+def cell_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/by_cell"
+    layout.write_by_cell(S.raw_multi(spark, sf_dir), path, tie=("lrid",))
+    return tables.read_hive(spark, path).select("lrid", *_box_columns())
+
+
+def box_extract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/box"
+    jobs.extract_box(S.raw_multi(spark, sf_dir), SEARCH_BOX, path)
+    return spark.read.parquet(path).select("lrid", "statefp")
+
+
+def county_parallel_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/counties"
+    jobs.county_parallel_extract(S.raw_multi(spark, sf_dir), "48", path)
+    return spark.read.parquet(path).select("lrid", "countyfp")
+
+
+def published_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/states"
+    jobs.publish_all_states(S.raw_multi(spark, sf_dir), path)
+    return tables.read_hive(spark, path).select("state", "lrid")
+
+
+def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_folder(spark)
+    for _ in range(2):  # the second run finds everything published
+        paths = jobs.incremental_state(S.raw_multi(spark, sf_dir), "37", root)
+    found = tables.read_hive(spark, paths["counties"])
+    return reports.counts_by(found.where(F.col("state") == "37"), "county", name="n")
+
+
+def owners_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parcels = normalize.normalize(S.parcel_raw(spark, sf_dir), clean_owner=True, unique_lrid=True)
+    return parcels.select("parcel_id", "geoid", "owner_name")
+
+
+def created_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parcels(spark, sf_dir).groupBy("geoid").agg(F.count("*").alias("n"), F.count("created_at").alias("with_time"))
+
+
+def attribute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.attributes_only(S.raw_multi(spark, sf_dir)).select("lrid", "statefp", "usedesc", "assdacres")
+
+
+def manifest_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_folder(spark)
+    layout.write_by_state(S.raw_multi(spark, sf_dir).select("lrid", "statefp", "countyfp", "bbox"), f"{root}/data", ("lrid",))
+    layout.write_manifest(tables.read_hive(spark, f"{root}/data"), ["state"], f"{root}/catalogue")
+    found = tables.extent_from_manifest(spark, f"{root}/catalogue")
+    return found.select(*[F.round(c, 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")], "n")
 
 
 def refreshed_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,7 +554,9 @@ def refreshed_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["orders", "customer", "supplier", "part", "events", "nation", "region", "lineitem"]
+    names = (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    ).split()
     found = tables.union_by_name(*[tables.inventory(S.table(spark, sf_dir, n)) for n in names])
     return found.select("name", "format", "n")
 
@@ -547,7 +618,8 @@ QUERIES: dict[str, Query] = {
         large_parcel_tiles, boundary_tiles, tile_layers, tile_request, centroid_request, packed_tiles, cell_summary,
         cell_partitions, value_classes, value_colors, popup_fields, geometry_measures, vertex_profile, reprojected,
         simplified, wkb_roundtrip, geojson_features, layout_roundtrip, incremental_counties, partition_manifest,
-        layout_overlap, refreshed_version, dataset_inventory, column_profile, status_report, quality_report,
+        layout_overlap, raw_key_layout, cell_layout, box_extract_files, county_parallel_state, published_states,
+        incremental_state, owners_cleaned, created_rows, attribute_rows, manifest_extent, refreshed_version, dataset_inventory, column_profile, status_report, quality_report,
         duplicate_keys, unknown_counties, random_sample, page_of_rows, page_after_key, number_matched,
     )
 }

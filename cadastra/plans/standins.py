@@ -17,7 +17,7 @@ from cadastra.lookups import STATE_BOUNDS
 REGION_STATE = {0: "13", 1: "37", 2: "06", 3: "12", 4: "48"}
 LOT = 0.0005  # side of a lattice lot in degrees
 LOT_ORIGIN = (-84.5, 31.0)
-LOT_COLUMNS = 61
+LOT_COLUMNS, LOT_ROWS = 61, 50_000  # further lots go on in new columns to the east
 ZONE = 0.25  # side of a zone in degrees
 RASTER_ORIGIN, RASTER_PIXEL = (-125.0, 50.0), (1.5, 1.0)
 
@@ -33,12 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a table whose few small files would be read by fewer tasks; at scale this does nothing."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _lookup(values: dict[int, object]) -> str:
     entries = ", ".join(f"{k}, {v}" for k, v in values.items())
     return f"element_at(map({entries}), n_regionkey)"
@@ -57,7 +51,7 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parcel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw parcels: one per order, placed in the state of the customer's region."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     placed = (
         orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -70,8 +64,8 @@ def parcel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = placed.selectExpr(
         "k AS lrid",
-        "if(k % 11 != 0, concat('P', k % 601), null) AS parcelid",
-        "if(k % 13 != 0, concat('A', k % 601), null) AS parcelid2",
+        "if(k % 11 != 0, concat('P', floor(k / 3)), null) AS parcelid",
+        "if(k % 13 != 0, concat('A', floor(k / 3)), null) AS parcelid2",
         "statefp",
         "countyfp",
         "if(k % 97 != 0, concat(statefp, countyfp), null) AS geoid",
@@ -134,9 +128,10 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lots on a lattice with shared edges, one per part."""
     p = F.col("p_partkey")
-    placed = spread(table(spark, sf_dir, "part"), "p_partkey").select(
+    placed = table(spark, sf_dir, "part").select(
         p.alias("lot_id"), "p_brand", "p_size",
-        (p % LOT_COLUMNS).alias("lot_col"), (F.floor(p / LOT_COLUMNS) % 50000).alias("lot_row"),
+        (p % LOT_COLUMNS + LOT_COLUMNS * F.floor(p / (LOT_COLUMNS * LOT_ROWS))).alias("lot_col"),
+        (F.floor(p / LOT_COLUMNS) % LOT_ROWS).alias("lot_row"),
     )
     ox, oy = (F.lit(v) for v in LOT_ORIGIN)
     col, row, side = F.col("lot_col"), F.col("lot_row"), F.lit(LOT)
@@ -160,11 +155,11 @@ def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raster as (row, col, value): events averaged per pixel."""
+    """Raster as (row, col, value): events averaged per pixel; rows go on below the last parcel."""
     e = F.col("event_id")
     return (
         table(spark, sf_dir, "events")
-        .groupBy((F.floor(e / 40) % 27).alias("row"), (e % 40).alias("col"))
+        .groupBy((F.floor(e / 40)).alias("row"), (e % 40).alias("col"))
         .agg(F.round(F.avg("value"), 4).alias("value"))
     )
 
@@ -174,7 +169,7 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
         c.alias("property_id"),
-        F.when(c % 3 == 0, F.concat(F.lit("P"), (c % 601).cast("string"))).alias("parcel_ref"),
+        F.when(c % 3 == 0, F.concat(F.lit("P"), (c * 2).cast("string"))).alias("parcel_ref"),
         F.concat(F.lit("  "), (100 + c % 900).cast("string"), F.lit(" PEACHTREE  St., "), (c % 40).cast("string"))
         .alias("address"),
     )

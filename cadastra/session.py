@@ -6,6 +6,7 @@ collects the settings that matter at scale, for the bench, the tests and scripts
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,11 +41,13 @@ def build_session(master: str | None = None, app: str = "cadastra", **extra: str
 def shared_folder(spark: SparkSession) -> str:
     """Return a new folder for tables written between steps.
 
-    The cluster names the parent in spark.checkpoint.dir. Only where that is unset (tests on one
-    machine) a temporary folder is made and set.
+    The cluster names the parent in spark.checkpoint.dir. Only where that is unset and all tasks run on this machine
+    (tests) a temporary folder is made and set; on a cluster each executor would write to a disk of its own there.
     """
     parent = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not parent:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cadastra-"))
         parent = spark.sparkContext.getCheckpointDir()
     return f"{parent.rstrip('/')}/{uuid.uuid4().hex}"

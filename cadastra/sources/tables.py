@@ -6,31 +6,37 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.operators.filters import in_box, of_state
 from cadastra.functions.geometry import Box
 
-DEFAULT_QUERY = """
-    SELECT statefp || countyfp AS fips, COUNT(*) AS parcels, COUNT(parceladdr) AS has_address,
-           COUNT(totalvalue) AS has_value, COUNT(ownername) AS has_owner
-    FROM parcels GROUP BY statefp || countyfp
-"""
-
-
 def read_file(spark: SparkSession, path: str) -> DataFrame:
     """One GeoParquet file or directory."""
     return spark.read.parquet(path)
 
 
+def _directory_keys(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directory columns under a path, from the first branch of its tree."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    keys: list[str] = []
+    while folder is not None:
+        inner = [c.getPath() for c in store.listStatus(folder) if c.isDirectory() and "=" in c.getPath().getName()]
+        folder = inner[0] if inner else None
+        keys += [folder.getName().split("=")[0]] if inner else []
+    return keys
+
+
 def read_hive(spark: SparkSession, path: str) -> DataFrame:
-    """Hive-partitioned dataset; directory values stay text, so state=01 is '01'."""
-    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(setting, before)
+    """Hive-partitioned dataset; directory values stay text, so state=01 is '01'.
+
+    The directory columns are declared as text, so no setting of the session has to change.
+    """
+    keys = _directory_keys(spark, path)
+    found = spark.read.parquet(path).schema
+    kinds = [T.StructField(f.name, T.StringType() if f.name in keys else f.dataType, f.nullable) for f in found]
+    return spark.read.schema(T.StructType(kinds)).parquet(path)
 
 
 def read_flat(spark: SparkSession, directory: str) -> DataFrame:
@@ -104,7 +110,7 @@ def extent_from_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def query(dataset: DataFrame, sql: str | None = None) -> DataFrame:
-    """Run SQL over the dataset as view `parcels`; without a statement, the default summary."""
+def query(dataset: DataFrame, sql: str) -> DataFrame:
+    """Run SQL over the dataset as view `parcels`; `reports.fips_summary` is the usual first look."""
     dataset.createOrReplaceTempView("parcels")
-    return dataset.sparkSession.sql(sql or DEFAULT_QUERY)
+    return dataset.sparkSession.sql(sql)
