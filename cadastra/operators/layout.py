@@ -19,11 +19,37 @@ COUNTY_LAYOUT = {"level": 9, "rows": 10_000}
 
 UNASSIGNED = "unassigned"
 PUBLISHED = "_published"
+TASK_BYTES = 256 * 1024 * 1024
+FILE_ROWS = 5_000_000
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes on storage of the files that a table is read from (0 for a table without files)."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    total = 0
+    for name in {f.rsplit("/", 1)[0] for f in files}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        total += folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return total
+
+
+def width_of(df: DataFrame, task_bytes: int = TASK_BYTES) -> int | None:
+    """Tasks for a sorted write of `df`: one for each `task_bytes` that it is read from.
+
+    None where that is fewer than the session's shuffle partitions, which Spark then merges by their measured size.
+    """
+    wanted = -(-input_bytes(df) // task_bytes)
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def _sorted_by(df: DataFrame, keys: list[str], tie: list[str], partitions: int | None) -> DataFrame:
-    """Range-partition and sort. The tie columns are part of the range, so equal positions split over tasks too."""
+    """Range-partition and sort. The tie columns are part of the range, so equal positions split over tasks too.
+
+    Without `partitions` the width follows the bytes of the input.
+    """
     order = [F.col(c) for c in [*keys, *tie]]
+    partitions = partitions or width_of(df)
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
 
@@ -45,12 +71,13 @@ def write_parquet(
     df: DataFrame, path: str, level: int = 3, rows: int = 50_000, partition_by: tuple[str, ...] = (),
     mode: str = "overwrite",
 ) -> None:
-    """ZSTD Parquet with bounded row groups; rows stay in the order of the DataFrame."""
+    """ZSTD Parquet with bounded row groups and files; rows stay in the order of the DataFrame."""
     writer = (
         df.write.mode(mode)
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", level)
         .option("parquet.block.row.count.limit", rows)
+        .option("maxRecordsPerFile", FILE_ROWS)
     )
     if partition_by:
         # An overwrite replaces the partitions it writes and leaves the others.
@@ -133,9 +160,9 @@ def skip_existing(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     return df if published is None else df.join(F.broadcast(published), keys, "left_anti")
 
 
-def write_by_raw_keys(df: DataFrame, path: str, tie: tuple[str, ...] = ("parcel_id",)) -> None:
+def write_by_raw_keys(df: DataFrame, path: str, tie: tuple[str, ...] = ("parcel_id",), partitions: int | None = None) -> None:
     """Publish path/statefp=XX/countyfp=YYY/ (the raw column names as directories)."""
-    ordered = _sorted_by(df, ["statefp", "countyfp"], list(tie), None)
+    ordered = _sorted_by(df, ["statefp", "countyfp"], list(tie), partitions)
     write_parquet(ordered, path, partition_by=("statefp", "countyfp"))
 
 
@@ -147,12 +174,14 @@ def with_cell(df: DataFrame, zoom: int = 6) -> DataFrame:
     return df.withColumn("cell", F.concat_ws("-", x, y))
 
 
-def write_by_cell(df: DataFrame, path: str, zoom: int = 6, tie: tuple[str, ...] = ("parcel_id",)) -> None:
+def write_by_cell(
+    df: DataFrame, path: str, zoom: int = 6, tie: tuple[str, ...] = ("parcel_id",), partitions: int | None = None
+) -> None:
     """Publish path/cell=x-y/ instead of administrative directories."""
     celled = with_cell(with_box(df), zoom).withColumn(
         "_hilbert", hilbert_of_box(F.col("bbox"), G.box_literal(WORLD))
     )
-    ordered = _sorted_by(celled, ["cell", "_hilbert"], list(tie), None).drop("_hilbert")
+    ordered = _sorted_by(celled, ["cell", "_hilbert"], list(tie), partitions).drop("_hilbert")
     write_parquet(ordered, path, partition_by=("cell",))
 
 

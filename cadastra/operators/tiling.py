@@ -109,10 +109,11 @@ def tile_counts(tiles: DataFrame) -> DataFrame:
 
 
 def tile_stats(tiles: DataFrame) -> DataFrame:
-    """Tiles and features per tile, per zoom."""
+    """Tiles and features per tile, per zoom, with the median and the 95th percentile."""
     return tile_counts(tiles).groupBy("z").agg(
         F.count("*").alias("tiles"), F.sum("features").alias("features"),
         F.avg("features").alias("avg_features"), F.max("features").alias("max_features"),
+        F.percentile("features", 0.5).alias("median_features"), F.percentile("features", 0.95).alias("p95_features"),
     )
 
 

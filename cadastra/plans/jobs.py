@@ -124,22 +124,25 @@ def tile_state(raw: DataFrame, statefp: str, path: str, key: tuple[str, ...] = (
     write_tiles(tiling.pyramid(filters.with_box(filters.of_state(raw, statefp)), "state", key=key), path)
 
 
-def write_tiles(tiles: DataFrame, path: str) -> None:
+def write_tiles(tiles: DataFrame, path: str, partitions: int | None = None) -> None:
     """Tile rows under path/z=N, sorted by tile.
 
     The feature's place in the sort order splits crowded tiles over tasks; readers of a tile get a few adjacent row groups.
     """
-    order = ["z", "x", "y", F.xxhash64(*tiles.columns)]
-    sorted_tiles = tiles.repartitionByRange(*order).sortWithinPartitions(*order)
-    layout.write_parquet(sorted_tiles, path, partition_by=("z",))
+    layout.write_parquet(_tile_order(tiles, ["z", "x", "y"], partitions), path, partition_by=("z",))
 
 
-def tile_counties(raw: DataFrame, path: str) -> None:
+def _tile_order(tiles: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    order = [*keys, F.xxhash64(*tiles.columns)]
+    width = partitions or layout.width_of(tiles)
+    ranged = tiles.repartitionByRange(width, *order) if width else tiles.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
+
+
+def tile_counties(raw: DataFrame, path: str, partitions: int | None = None) -> None:
     """County pyramids of all counties in one job; a county is the rows of its own state and county codes."""
     tiles = tiling.pyramid(layout.with_partition_keys(filters.with_box(raw)), "county")
-    order = ["state", "county", "z", "x", "y", F.xxhash64(*tiles.columns)]
-    sorted_tiles = tiles.repartitionByRange(*order).sortWithinPartitions(*order)
-    layout.write_parquet(sorted_tiles, path, partition_by=("state", "county"))
+    layout.write_parquet(_tile_order(tiles, ["state", "county", "z", "x", "y"], partitions), path, partition_by=("state", "county"))
 
 
 def full_run(raw: DataFrame, statefp: str, name: str, root: str, url: str | None = None) -> list[str]:

@@ -109,6 +109,19 @@ CATEGORY = """CASE WHEN {0} ~ '.*(mixed).*' THEN 'mixed_use'
   WHEN {0} ~ '.*(resid|dwelling|family|condo|apartment|household|building).*' THEN 'residential' ELSE 'other' END"""
 
 
+# Longest values of the other text columns, and what they come from in the raw layer (nothing: always null there).
+LENGTH_RULES = "\n".join(
+    f"UNION ALL SELECT '{name} longer than {length}', " + (f"count(*) FILTER (WHERE length({source[0]}) > {length}) FROM parcel" if source else "0")
+    for name, length, *source in (
+        ("parcel_id_alt", 100, "parcelid2"), ("tax_account_num", 50), ("use_code", 20, "usecode"), ("use_description", 255, "usedesc"),
+        ("zoning_code", 50, "zoningcode"), ("zoning_description", 255), ("owner_name", 255, "ownername"), ("owner_address", 500),
+        ("owner_city", 100), ("owner_state", 50), ("owner_zip", 20), ("parcel_address", 500, "parceladdr"), ("parcel_city", 100, "parcelcity"),
+        ("parcel_state", 50), ("parcel_zip", 20), ("plss_township", 20), ("plss_section", 20), ("plss_quarter_section", 20), ("plss_range", 20),
+        ("plss_description", 255), ("plat_book", 50), ("plat_page", 50), ("plat_block", 50), ("plat_lot", 50), ("source_version", 20, "lrversion"),
+    )
+)
+
+
 def _pct(column: str) -> str:
     """100 * count / rows to one decimal in integer arithmetic."""
     return f"CAST((2000 * count({column}) + count(*)) // (2 * count(*)) AS DOUBLE) / 10"
@@ -368,7 +381,9 @@ WITH {RAW} SELECT lrid, 16 AS z, {_tile_x("centroidx", "16")} AS x, {_tile_y("ce
     "tile_stats": f"""
 WITH {RAW}, {THINNED}, n AS (SELECT z, x, y, count(*) AS features FROM tile GROUP BY z, x, y)
 SELECT z, count(*) AS tiles, CAST(sum(features) AS BIGINT) AS features,
-  round(sum(features)::DOUBLE / count(*), 6) AS avg_features, max(features) AS max_features FROM n GROUP BY z""",
+  round(sum(features)::DOUBLE / count(*), 6) AS avg_features, max(features) AS max_features,
+  round(quantile_cont(features::DOUBLE, 0.5), 6) AS median_features, round(quantile_cont(features::DOUBLE, 0.95), 6) AS p95_features
+FROM n GROUP BY z""",
     "tile_largest": f"""
 WITH {RAW}, {_tiles('raw', 'lrid, assdacres', 7, 9)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY z, x, y ORDER BY assdacres DESC, lrid) AS rk FROM tile)
@@ -419,8 +434,11 @@ WITH {RAW} SELECT lrid, round((xmax - xmin) * (ymax - ymin) * 1e6::DOUBLE, 4) AS
     "vertex_profile": f"""
 WITH {RAW} SELECT statefp, count(*) AS n, 5 AS min_vertices, 5.0::DOUBLE AS avg_vertices, 5 AS max_vertices FROM raw GROUP BY statefp""",
     "reprojected": f"""
-WITH {RAW} SELECT lrid, round(radians(xmin) * 6378137.0::DOUBLE, 2) AS mx,
-  round(ln(tan(pi() / 4 + radians(ymin) / 2)) * 6378137.0::DOUBLE, 2) AS my, round(xmin, 6) AS lon, round(ymin, 6) AS lat FROM raw""",
+WITH {RAW}, v AS (
+  SELECT lrid, vertex, CASE WHEN vertex IN (1, 2) THEN xmax ELSE xmin END AS x, CASE WHEN vertex IN (2, 3) THEN ymax ELSE ymin END AS y
+  FROM raw, (VALUES (0::INTEGER), (1), (2), (3), (4)) n(vertex))
+SELECT lrid, vertex, round(radians(x) * 6378137.0::DOUBLE, 2) AS mx,
+  round(ln(tan(pi() / 4 + radians(y) / 2)) * 6378137.0::DOUBLE, 2) AS my, round(x, 6) AS lon, round(y, 6) AS lat FROM v""",
     "simplified": f"""
 WITH {RAW} SELECT lrid, 5 + CAST(lrid % 2 = 0 AS INTEGER) AS vertices,
   round(((xmax - xmin) * (ymax - ymin)
@@ -456,11 +474,15 @@ WITH {PARCEL} SELECT geoid, count(*) AS n, CAST(sum(total_value) AS BIGINT) AS t
         ).split()
     ),
     "column_profile": f"WITH {RAW}\n" + "\nUNION ALL ".join(
-        f"SELECT {i} AS position, '{c}' AS column_name, count({c}) AS non_null, CAST(min({c}) AS VARCHAR) AS min_value,"
-        f" CAST(max({c}) AS VARCHAR) AS max_value FROM raw"
-        for i, c in enumerate(
-            ("lrid", "parcelid", "statefp", "yearbuilt", "totalvalue", "usedesc", "ownername", "legaldesc"), 1
-        )
+        f"SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS column_type, count({source}) AS non_null, "
+        + (f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value" if kind not in ("double", "struct", "array") else "NULL AS min_value, NULL AS max_value")
+        + " FROM raw"
+        for i, (c, kind, source) in enumerate(((*x.split(":"), x.split(":")[0]) if x.count(":") == 1 else x.split(":") for x in (
+            "lrid:bigint parcelid:string parcelid2:string statefp:string countyfp:string geoid:string taxyear:int usecode:string"
+            " usedesc:string zoningcode:string numbldgs:int yearbuilt:int bldgsqft:int totalvalue:bigint assdacres:double"
+            " saleamt:bigint saledate:timestamp_ntz ownername:string parceladdr:string parcelcity:string legaldesc:string updated:timestamp_ntz"
+            " lrversion:string centroidx:double centroidy:double surfpointx:double surfpointy:double bbox:struct:xmin geom:array:xmin"
+        ).split()), 1)
     ),
     "status_report": f"""
 WITH {PARCEL}, {COUNTIES}, {LOTS}
@@ -474,10 +496,7 @@ SELECT 'parcel_id is null' AS rule, count(*) FILTER (WHERE parcel_id IS NULL) AS
 UNION ALL SELECT 'parcel_id longer than 100', count(*) FILTER (WHERE length(parcel_id) > 100) FROM parcel
 UNION ALL SELECT 'geoid is null', count(*) FILTER (WHERE geoid IS NULL) FROM parcel
 UNION ALL SELECT 'geoid longer than 5', count(*) FILTER (WHERE length(geoid) > 5) FROM parcel
-UNION ALL SELECT 'owner_name longer than 255', count(*) FILTER (WHERE length(owner_name) > 255) FROM parcel
-UNION ALL SELECT 'parcel_address longer than 500', count(*) FILTER (WHERE length(parcel_address) > 500) FROM parcel
-UNION ALL SELECT 'use_code longer than 20', count(*) FILTER (WHERE length(use_code) > 20) FROM parcel
-UNION ALL SELECT 'source_version longer than 20', count(*) FILTER (WHERE length(lrversion) > 20) FROM parcel
+{LENGTH_RULES}
 UNION ALL SELECT 'duplicate (geoid, parcel_id)', count(*) - count(DISTINCT (geoid, parcel_id)) FROM parcel
 UNION ALL SELECT 'geoid not in counties', count(*) FROM parcel WHERE geoid NOT IN (SELECT geoid FROM counties)
 UNION ALL SELECT 'county state not in states', count(*) FROM counties WHERE statefp NOT IN (SELECT statefp FROM states)""",

@@ -322,7 +322,7 @@ def tile_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tile_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = tiling.tile_stats(_tiles(spark, sf_dir, "state", thinned=True))
-    return stats.withColumn("avg_features", F.round("avg_features", 6))
+    return stats.withColumns({c: F.round(c, 6) for c in ("avg_features", "median_features", "p95_features")})
 
 
 def tile_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,10 +417,10 @@ def reprojected(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = M.reproject(F.col("geom"), "EPSG:4326", "EPSG:3857")
     rows = S.raw_multi(spark, sf_dir).select("lrid", moved.alias("geom"))
     back = M.reproject(F.col("geom"), "EPSG:3857")
-    first = rows.select("lrid", G.vertices(F.col("geom"))[0].alias("m"), G.vertices(back)[0].alias("g"))
-    return first.select(
-        "lrid", F.round("m.x", 2).alias("mx"), F.round("m.y", 2).alias("my"), F.round("g.x", 6).alias("lon"),
-        F.round("g.y", 6).alias("lat"),
+    points = rows.select("lrid", F.posexplode(F.arrays_zip(G.vertices(F.col("geom")).alias("m"), G.vertices(back).alias("g"))).alias("vertex", "p"))
+    return points.select(
+        "lrid", "vertex", F.round("p.m.x", 2).alias("mx"), F.round("p.m.y", 2).alias("my"), F.round("p.g.x", 6).alias("lon"),
+        F.round("p.g.y", 6).alias("lat"),
     )
 
 
@@ -562,10 +562,12 @@ def dataset_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = S.parcel_raw(spark, sf_dir).select(
-        "lrid", "parcelid", "statefp", "yearbuilt", "totalvalue", "usedesc", "ownername", "legaldesc"
+    # the text form of a double differs between engines, so its smallest and largest value are left out of the comparison
+    fractional = F.col("column_type") == "double"
+    found = reports.column_profile(S.parcel_raw(spark, sf_dir))
+    return found.withColumns({c: F.when(~fractional, F.col(c)) for c in ("min_value", "max_value")}).withColumn(
+        "column_type", F.element_at(F.split("column_type", "<"), 1)
     )
-    return reports.column_profile(raw).drop("column_type")
 
 
 def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -577,8 +579,7 @@ def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _parcels(spark, sf_dir).select("parcel_id", "geoid", "owner_name", "parcel_address", "use_code", "source_version")
-    return quality.quality_report(p, S.counties(spark, sf_dir))
+    return quality.quality_report(_parcels(spark, sf_dir), S.counties(spark, sf_dir))
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -247,3 +247,40 @@ def test_landed_extract_and_append(spark, sf_dir, tmp_path):
     found = tables.extract_raw(spark, path, box, "37")
     assert found.count() == source.where("statefp = '37'").count()
     assert "EqualTo(statefp,37)" in plan(found)
+
+
+def test_width_of_a_sorted_write_follows_the_bytes(spark, sf_dir):
+    source = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    size = layout.input_bytes(source)
+    assert size > 0 and layout.width_of(source) is None
+    assert layout.width_of(source, size // 10) in (10, 11) and layout.width_of(source, size // 20) in (20, 21)
+
+
+def test_thinning_draws_by_the_given_key(spark, sf_dir, tmp_path):
+    jobs.tile_state(raw(spark, sf_dir), "13", str(tmp_path / "tiles"))
+    tiles = spark.read.parquet(str(tmp_path / "tiles"))
+    per_zoom = {int(r["z"]): r["n"] for r in tiles.groupBy("z").agg(F.countDistinct("lrid").alias("n")).collect()}
+    assert max(per_zoom) == 16 and all(per_zoom[z] <= per_zoom[z + 1] for z in per_zoom if z + 1 in per_zoom)
+
+
+def test_half_written_counties_are_written_again(spark, sf_dir, tmp_path):
+    path, source = str(tmp_path / "by_county"), raw(spark, sf_dir)
+    half = layout.by_county(filters.of_state(source, "13").where("lrid % 2 = 0"), ("lrid",))
+    layout.write_parquet(half, path, partition_by=("state", "county"))
+    layout.write_by_county(source, path, ("lrid",))
+    assert tables.read_hive(spark, path).count() == source.count()
+    entries = layout.existing_partitions(spark, path, ["state", "county"])
+    assert entries.count() == tables.read_hive(spark, path).select("state", "county").distinct().count()
+
+
+def test_shared_folder_needs_a_named_place_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from cadastra.session import shared_folder
+
+    away = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default="": ""),
+        sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None),
+    )
+    with pytest.raises(ValueError):
+        shared_folder(away)
