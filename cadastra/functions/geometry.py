@@ -406,6 +406,43 @@ def within(a: Column, b: Column, tolerance: float = 1e-9) -> Column:
     return overlap_area(a, b) >= area(a) * F.lit(1.0 - tolerance)
 
 
+def _cut_ring(ring: Column, axis: str, bound: Column, below: bool) -> Column:
+    """The part of a closed ring on one side of a line along an axis, closed again; empty if nothing is left."""
+    other = "y" if axis == "x" else "x"
+
+    def kept(p: Column) -> Column:
+        return p[axis] <= bound if below else p[axis] >= bound
+
+    def crossing(p: Column, q: Column) -> Column:
+        at = p[other] + (q[other] - p[other]) * ((bound - p[axis]) / (q[axis] - p[axis]))
+        return F.struct(*[(bound if c == axis else at).alias(c) for c in ("x", "y")])
+
+    def piece(p: Column, q: Column) -> Column:
+        none = F.slice(ring, 1, 0)
+        return F.concat(F.when(kept(p), F.array(p)).otherwise(none), F.when(kept(p) != kept(q), F.array(crossing(p, q))).otherwise(none))
+
+    steps = F.greatest(F.size(ring) - 1, F.lit(0))
+    walked = F.flatten(F.zip_with(F.slice(ring, 1, steps), F.slice(ring, 2, steps), piece))
+    return let(walked, lambda v: F.concat(v, F.slice(v, 1, 1)))
+
+
+def clip_to_box(geom: Column, b: Column) -> Column:
+    """Part of a multipolygon inside a box. Rings are cut at the four sides in turn, so areas are exact; a concave ring
+    that falls into parts stays one ring with edges along the box. Rings and polygons outside vanish.
+    """
+
+    def cut_at(axis: str, side: str, below: bool):
+        return lambda v: _cut_ring(v, axis, b[side], below)
+
+    def ring(r: Column) -> Column:
+        for axis, side, below in (("x", "xmin", False), ("x", "xmax", True), ("y", "ymin", False), ("y", "ymax", True)):
+            r = let(r, cut_at(axis, side, below))
+        return r
+
+    cut = F.transform(geom, lambda poly: F.filter(F.transform(poly, ring), lambda r: F.size(r) >= 4))
+    return F.filter(cut, lambda poly: F.size(poly) > 0)
+
+
 def to_wkt(geom: Column, digits: int = 7) -> Column:
     """MULTIPOLYGON text with a fixed number of decimals."""
     fmt = f"%.{digits}f %.{digits}f"

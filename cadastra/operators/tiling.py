@@ -31,6 +31,7 @@ DETAIL = {
 }
 
 _BUCKETS = 1_000_000_000
+BUFFER = 1 / 64  # of a tile's size, on each side
 
 
 def draw_of(*key: str) -> Column:
@@ -83,6 +84,21 @@ def tile_features(
     return spread.drop("_x0", "_x1", "_y0", "_y1")
 
 
+def clipped(tiles: DataFrame, buffer: float = BUFFER, geom: str = "geom") -> DataFrame:
+    """Tile rows with each geometry cut to its tile, widened on each side by `buffer` of the tile's size.
+
+    A feature inside one tile is left as it is by the cut. Neighbouring tiles share the buffer, so seams can be drawn over.
+    """
+    b = M.tile_box(F.col("z"), F.col("x"), F.col("y"))
+
+    def widened(v: Column) -> Column:
+        dx, dy = (v["xmax"] - v["xmin"]) * F.lit(buffer), (v["ymax"] - v["ymin"]) * F.lit(buffer)
+        return G.box(v["xmin"] - dx, v["ymin"] - dy, v["xmax"] + dx, v["ymax"] + dy)
+
+    held = tiles.withColumn("_tile", G.let(b, widened))
+    return held.withColumn(geom, G.clip_to_box(F.col(geom), F.col("_tile"))).drop("_tile")
+
+
 def pyramid(
     df: DataFrame, preset: str, draw: Column | None = None, key: tuple[str, ...] = ("id",), **columns: str
 ) -> DataFrame:

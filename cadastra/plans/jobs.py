@@ -110,7 +110,7 @@ def run_extract(raw: DataFrame, request: ExtractRequest, root: str, url: str | N
         elif kind == "geojson":
             geojson.write_lines(rows, path, properties or ["parcelid", "parceladdr", "ownername", "totalvalue"])
         else:
-            write_tiles(tiling.pyramid(rows, "export"), path)
+            write_tiles(tiling.clipped(tiling.pyramid(rows, "export")), path)
         written.append(path)
     if request.load and "parquet" in request.formats and url is not None:
         stored = raw.sparkSession.read.parquet(f"{root.rstrip('/')}/parquet/{request.name}")
@@ -121,7 +121,7 @@ def run_extract(raw: DataFrame, request: ExtractRequest, root: str, url: str | N
 
 def tile_state(raw: DataFrame, statefp: str, path: str, key: tuple[str, ...] = ("lrid",)) -> None:
     """The thinned pyramid of one state; `key` names a feature, and its draw decides where it stays visible."""
-    write_tiles(tiling.pyramid(filters.with_box(filters.of_state(raw, statefp)), "state", key=key), path)
+    write_tiles(tiling.clipped(tiling.pyramid(filters.with_box(filters.of_state(raw, statefp)), "state", key=key)), path)
 
 
 def write_tiles(tiles: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -141,7 +141,7 @@ def _tile_order(tiles: DataFrame, keys: list[str], partitions: int | None) -> Da
 
 def tile_counties(raw: DataFrame, path: str, partitions: int | None = None) -> None:
     """County pyramids of all counties in one job; a county is the rows of its own state and county codes."""
-    tiles = tiling.pyramid(layout.with_partition_keys(filters.with_box(raw)), "county")
+    tiles = tiling.clipped(tiling.pyramid(layout.with_partition_keys(filters.with_box(raw)), "county"))
     layout.write_parquet(_tile_order(tiles, ["state", "county", "z", "x", "y"], partitions), path, partition_by=("state", "county"))
 
 

@@ -384,6 +384,9 @@ SELECT z, count(*) AS tiles, CAST(sum(features) AS BIGINT) AS features,
   round(sum(features)::DOUBLE / count(*), 6) AS avg_features, max(features) AS max_features,
   round(quantile_cont(features::DOUBLE, 0.5), 6) AS median_features, round(quantile_cont(features::DOUBLE, 0.95), 6) AS p95_features
 FROM n GROUP BY z""",
+    "tile_clipped": f"""
+WITH {RAW} SELECT lrid, CAST(z AS INTEGER) AS z, round((xmax - xmin) * (ymax - ymin) * 1e6::DOUBLE, 4) AS area_e6
+FROM raw, range(12, 17) t(z)""",
     "tile_largest": f"""
 WITH {RAW}, {_tiles('raw', 'lrid, assdacres', 7, 9)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY z, x, y ORDER BY assdacres DESC, lrid) AS rk FROM tile)

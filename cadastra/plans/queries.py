@@ -325,6 +325,12 @@ def tile_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumns({c: F.round(c, 6) for c in ("avg_features", "median_features", "p95_features")})
 
 
+def tile_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of a feature in all its tiles of a zoom make up its area."""
+    parts = tiling.clipped(_tiles(spark, sf_dir, "county"), 0.0).withColumn("part", G.area(F.col("geom")) * 1e6)
+    return parts.groupBy("lrid", "z").agg(F.round(F.sum("part"), 4).alias("area_e6"))
+
+
 def tile_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.raw_multi(spark, sf_dir).select("lrid", "bbox", "geom", "assdacres")
     tiles = tiling.tile_features(raw, 7, 9)
@@ -615,7 +621,7 @@ QUERIES: dict[str, Query] = {
         cross_border_filter, all_states_extract, box_extract, county_selection, high_value_metro, large_parcels,
         sale_range, edge_profile, encoding_profile, hilbert_order, union_by_name, pip_enrich, overlap_share,
         zone_members, adjacent_parcels, footprint_containment, dissolved_boundary, raster_sample, property_match,
-        use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_largest,
+        use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_clipped, tile_largest,
         large_parcel_tiles, boundary_tiles, tile_layers, tile_request, centroid_request, packed_tiles, cell_summary,
         cell_partitions, value_classes, value_colors, popup_fields, geometry_measures, vertex_profile, reprojected,
         simplified, wkb_roundtrip, geojson_features, layout_roundtrip, incremental_counties, partition_manifest,

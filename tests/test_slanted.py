@@ -97,3 +97,17 @@ def test_null_keys_of_a_left_join_stay_spread(spark):
         assert max(r["count"] for r in parts) < 1_000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("kind", ["edge", "over"])
+def test_clipped_parts_make_up_the_area(frame, kind):
+    """Cut a shape at a point inside its box into four boxes: the parts' areas add up, and each part stays inside."""
+    df = frame(kind).select("k", "a", "a_box")
+    b = F.col("a_box")
+    x, y = b["xmin"] + (b["xmax"] - b["xmin"]) * 0.4, b["ymin"] + (b["ymax"] - b["ymin"]) * 0.55
+    quarters = [(b["xmin"], b["ymin"], x, y), (x, b["ymin"], b["xmax"], y), (b["xmin"], y, x, b["ymax"]), (x, y, b["xmax"], b["ymax"])]
+    cut = df.select("k", G.area(F.col("a")).alias("whole"), *[G.clip_to_box(F.col("a"), G.box(*q)).alias(f"q{i}") for i, q in enumerate(quarters)])
+    total = sum((G.area(F.col(f"q{i}")) for i in range(1, 4)), G.area(F.col("q0")))
+    assert cut.where(F.abs(total - F.col("whole")) > F.col("whole") * 1e-6).count() == 0
+    away = df.select(G.clip_to_box(F.col("a"), G.box(b["xmax"] + 1, b["ymin"], b["xmax"] + 2, b["ymax"])).alias("c"))
+    assert away.where(F.size("c") > 0).count() == 0
