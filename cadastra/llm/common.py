@@ -81,15 +81,16 @@ def buffers(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """Keys with many rows, and into how many parts to split each (`_parts`). At most HOT_KEYS rows.
 
     Nulls are not keys. A key is hot above `rows` and above 1 / HOT_KEYS of all rows: so the list is small whatever
-    the size of `df`, and each key left out of it has a small share of all rows.
+    the size of `df`, and each key left out of it has a small share of all rows. `counts`, if given, has the keys with
+    over `rows` rows already, with their number as `_n`.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows)
-    total = df.count()
-    bound = max(rows, -(-total // HOT_KEYS))
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    bound = max(rows, -(-df.count() // HOT_KEYS))
     return counts.where(F.col("_n") > bound).select(*keys, F.ceil(F.col("_n") / F.lit(bound)).cast("int").alias("_parts"))
 
 
