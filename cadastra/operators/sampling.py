@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_OFFSET = 100_000
+
 
 def top_by(df: DataFrame, measure: str, limit: int, *ties: str) -> DataFrame:
     """Rows with the largest measure; nulls last, ties by the given columns."""
@@ -21,8 +23,10 @@ def page(df: DataFrame, key: str, limit: int, offset: int = 0, after: object | N
     """A page of rows in key order.
 
     `after` continues behind a key (a filter that reaches the scan, so deep pages cost no more than the first);
-    `offset` skips rows.
+    `offset` skips rows. Rows that are skipped meet in one task, so an offset beyond MAX_OFFSET is an error.
     """
+    if offset > MAX_OFFSET:
+        raise ValueError(f"an offset over {MAX_OFFSET}: continue with `after` instead")
     rows = df if after is None else df.where(F.col(key) > F.lit(after))
     ordered = rows.orderBy(key)
     return (ordered.offset(offset) if offset else ordered).limit(limit)

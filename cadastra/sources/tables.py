@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadastra.operators.filters import in_box, of_state
+from cadastra.operators.filters import in_box, intersecting_box, of_state
 from cadastra.functions.geometry import Box
 
 def read_file(spark: SparkSession, path: str) -> DataFrame:
@@ -60,10 +60,13 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def extract_raw(spark: SparkSession, path: str, bounds: Box | None, statefp: str | None) -> DataFrame:
-    """Rows of the landed raw layer in a box and a state; both conditions reach the scan."""
+    """Rows of the landed raw layer that meet a box and name a state.
+
+    The box comparison and the state reach the scan; geometries whose box only brushes the bounds are tested exactly.
+    """
     rows = spark.read.parquet(path)
     if bounds is not None:
-        rows = in_box(rows, bounds)
+        rows = intersecting_box(rows, bounds) if "geom" in rows.columns else in_box(rows, bounds)
     return rows if statefp is None else of_state(rows, statefp)
 
 

@@ -284,3 +284,22 @@ def test_shared_folder_needs_a_named_place_on_a_cluster(spark, monkeypatch):
     )
     with pytest.raises(ValueError):
         shared_folder(away)
+
+
+def test_deep_offsets_are_refused(spark, sf_dir):
+    from cadastra.operators import sampling
+
+    with pytest.raises(ValueError):
+        sampling.page(raw(spark, sf_dir), "lrid", 10, offset=10_000_000)
+
+
+def test_extract_raw_is_exact(spark, tmp_path):
+    corner = [[[{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 0.0, "y": 1.0}, {"x": 0.0, "y": 0.0}]]]
+    rows = [("13", corner, (0.0, 0.0, 1.0, 1.0))]
+    schema = f"statefp string, geom {PARCEL_GEOM}, bbox struct<xmin: double, ymin: double, xmax: double, ymax: double>"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "raw"))
+    assert tables.extract_raw(spark, str(tmp_path / "raw"), (0.8, 0.8, 2.0, 2.0), "13").count() == 0
+    assert tables.extract_raw(spark, str(tmp_path / "raw"), (0.4, 0.4, 2.0, 2.0), None).count() == 1
+
+
+PARCEL_GEOM = "array<array<array<struct<x: double, y: double>>>>"
