@@ -86,12 +86,17 @@ def train(
     row_a, column_a = sparse([sorted(set(a) - set(b)) for a, b in pairs])
     row_b, column_b = sparse([sorted(set(b) - set(a)) for a, b in pairs])
     weight = np.where(labels == 1, n / 2 / max(1, labels.sum()), n / 2 / max(1, n - labels.sum())) / n
+    def change_of(v: np.ndarray) -> np.ndarray:
+        """What the swap changes in each pair's score; a pair may have no feature that differs."""
+        own = np.bincount(row_a, v[column_a], minlength=len(pairs)).astype(float)
+        return own - np.bincount(row_b, v[column_b], minlength=len(pairs))
+
     def curved(v: np.ndarray, v_bias: float) -> tuple[np.ndarray, float]:
         """The largest curvature that the objective can have, times a vector."""
         bend = weight * (np.bincount(row, v[column], minlength=n) + v_bias) / 4
         out = np.bincount(column, bend[row], minlength=size) + RIDGE * v
         if pairs:
-            bent = 2 * penalty / len(pairs) * (np.bincount(row_a, v[column_a], minlength=len(pairs)) - np.bincount(row_b, v[column_b], minlength=len(pairs)))
+            bent = 2 * penalty / len(pairs) * change_of(v)
             out += np.bincount(column_a, bent[row_a], minlength=size) - np.bincount(column_b, bent[row_b], minlength=size)
         return out, float(bend.sum())
 
@@ -108,8 +113,7 @@ def train(
         error = weight * (1 / (1 + np.exp(-np.clip(score, -50, 50))) - labels)
         slope = np.bincount(column, error[row], minlength=size) + RIDGE * momentum
         if pairs:
-            change = np.bincount(row_a, momentum[column_a], minlength=len(pairs)) - np.bincount(row_b, momentum[column_b], minlength=len(pairs))
-            change *= 2 * penalty / len(pairs)
+            change = 2 * penalty / len(pairs) * change_of(momentum)
             slope += np.bincount(column_a, change[row_a], minlength=size) - np.bincount(column_b, change[row_b], minlength=size)
         new, new_bias = momentum - rate * slope, momentum_bias - rate * error.sum()
         follow = step / (step + 3)

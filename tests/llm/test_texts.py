@@ -337,6 +337,7 @@ def test_counterfactual_penalty_frees_group_names(spark, make_docs):
     free, _ = toxicity.train(own, changed, y, 4, penalty=0.0)
     tied, _ = toxicity.train(own, changed, y, 4, penalty=10.0)
     assert abs(tied[1] - tied[3]) < 0.2 * abs(free[1] - free[3])
+    assert np.isfinite(toxicity.train([[0], [1]], [[0], None], np.array([0, 1]), 2)[0]).all()  # a swap that changes nothing
     assert toxicity.swapped("Women and MEN met", ("women", "men")) == "men and women met"
 
 
