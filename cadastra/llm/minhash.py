@@ -2,7 +2,8 @@
 
 Texts with the same set of shingles form a class, and only one row of a class goes on. A bucket gives one candidate
 pair for each member (with a centre), not all pairs. Pairs are confirmed on full sets. Where a bucket still holds
-several components, later rounds choose other centres.
+several components, later rounds choose other centres; where it does so after the last round, all its pairs of
+different components are decided, block by block.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import buffers, chunks, components, forget, hot_keys, spread_join, text_of, written
@@ -136,15 +137,101 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(near("set_a", "set_b")).select("a", "b")
 
 
+#: Members and shingles of one block of a bucket, about; two blocks are compared in memory.
+BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 500_000
+
+
+def _shared(sets: list[np.ndarray], few: int = 8) -> np.ndarray:
+    """How many values each two of some sets share."""
+    n = len(sets)
+    out = np.zeros((n, n), np.int64)
+    if n <= few:
+        for x in range(n):
+            for y in range(x + 1, n):
+                out[x, y] = out[y, x] = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        return out
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = count[at] > 1
+    owner, at = owner[often], (np.cumsum(count > 1) - 1)[at[often]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    total = np.zeros((n, n), np.float32)  # exact below 2**24
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
+        a, b = np.searchsorted(at, (low, low + 4096))
+        grid = np.zeros((n, 4096), np.float32)
+        grid[owner[a:b], at[a:b] - low] = 1
+        total += grid @ grid.T
+    return total.astype(np.int64)
+
+
+def _forest(ids: list[int], component: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Near pairs of members of different components, as few as join the same members."""
+    size = np.array([len(x) for x in sets])
+    both = _shared(sets)
+    own = np.array(component)
+    near = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (own[:, None] != own[None, :])
+    root = {c: c for c in component}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in zip(*np.nonzero(np.triu(near)), strict=True):
+        p, q = find(component[x]), find(component[y])
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return out
+
+
+def _rest(now: DataFrame, sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Near pairs (a, b) that join different components of a bucket, from all its pairs but those of its largest one.
+
+    `now`: doc_id, n_shingles, key, component. Members are dealt to blocks, those of the largest component to blocks
+    of their own; every two blocks, but for two of the largest component, are compared by one task on the full sets.
+    A member comes as often as its bucket has blocks. Buckets with the same members are compared once.
+    """
+    parts = now.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("h1"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(20,0)")).alias("h2"))
+    units = parts.groupBy("key").agg(
+        F.max(F.struct("n", "component", "size")).alias("m"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("several"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2")
+    ).where("several > 1 and n > 2")  # of two members the first round tried the pair
+    units = units.groupBy("n", "size", "h1", "h2").agg(F.min(F.struct("key", "m")).alias("u")).select("u.*", "n", "size")
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / F.lit(BLOCK_MEMBERS)), F.ceil(size / F.lit(BLOCK_SHINGLES))).cast("int")
+
+    units = written(units.select("key", F.col("m.component").alias("main"), blocks(F.col("n") - F.col("m.n"), F.col("size") - F.col("m.size")).alias("rest"), blocks(F.col("m.n"), F.col("m.size")).alias("mains")))
+    rows = spread_join(now.select("key", "doc_id", "component"), units, ["key"], ["doc_id"], hot)
+    block = F.when(F.col("component") == F.col("main"), F.col("rest") + F.pmod(F.xxhash64("doc_id"), "mains")).otherwise(F.pmod(F.xxhash64("doc_id"), "rest"))
+    rows = rows.withColumn("block", block.cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("block") < F.col("rest"), F.col("rest") + F.col("mains")).otherwise(F.col("rest")) - 1)
+    rows = rows.withColumn("other", F.explode(others))
+    rows = written(rows.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "doc_id", "component"))
+    whole = spread_join(rows, sets, ["doc_id"], ["key", "x", "y"], hot_keys(rows, ["doc_id"]))
+
+    def compare(group: pa.Table) -> pa.Table:
+        members = [np.frombuffer(m.as_buffer(), np.uint64) for m in group.column("members")]
+        pairs = _forest(group.column("doc_id").to_pylist(), group.column("component").to_pylist(), members, percent)
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    found = written(whole.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long").distinct())
+    forget(rows, units)
+    return found
+
+
 def links(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
     """Confirmed pairs (a, b) of class representatives. `reps`: doc_id, n_shingles, keys.
 
     Round by round, every bucket with several components (at first every row is one) names a centre, the member that
     comes first in an order that changes with the round, and pairs it with its members of other components. Pairs
     that the sizes of the sets rule out, and pairs tried before, are not read again. All rounds together try at most
-    `rounds` pairs for each row of a bucket.
+    `rounds` pairs for each row of a bucket. What they leave open is decided by `_rest`.
     """
-    spark = docs.sparkSession
     rows = written(reps.select("doc_id", "n_shingles", F.explode("keys").alias("key")))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     hot = written(hot_keys(rows, ["key"]))
@@ -154,13 +241,15 @@ def links(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
     sets = written(_full_sets(text_of(docs).dropDuplicates(["doc_id"]).join(ids, "doc_id"), near.size))
     found = tried = None
     labels: DataFrame | None = None
+
+    def labelled() -> DataFrame:
+        if labels is None:
+            return members.withColumn("component", F.col("doc_id"))
+        named = members.join(labels, members.doc_id == labels.node, "left").drop("node")
+        return named.withColumn("component", F.coalesce("component", "doc_id"))
+
     for turn in range(near.rounds):
-        now = members
-        if labels is not None:
-            now = members.join(labels, members.doc_id == labels.node, "left").drop("node")
-            now = now.withColumn("component", F.coalesce("component", "doc_id"))
-        else:
-            now = now.withColumn("component", F.col("doc_id"))
+        now = labelled()
         order = F.struct((F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))).alias("turn"), F.col("doc_id").alias("centre"), F.col("component").alias("own"), F.col("n_shingles").alias("size"))
         centres = now.groupBy("key").agg(F.min(order).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         centres = centres.where("lo <> hi").select("key", "c.centre", "c.own", "c.size")
@@ -176,8 +265,9 @@ def links(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
         tried = pairs if tried is None else tried.unionAll(pairs)
         found = edges if found is None else found.unionAll(edges)
         labels = written(components(found))
+    last = _rest(written(labelled()), sets, hot, near.percent)
     forget(sets)
-    return spark.createDataFrame([], "a long, b long") if found is None else found
+    return last if found is None else found.unionAll(last)
 
 
 def groups(docs: DataFrame, near: Near = Near()) -> DataFrame:

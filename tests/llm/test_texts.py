@@ -229,6 +229,21 @@ def test_minhash_groups(spark, sf_dir, make_docs, odd_rows):
     assert minhash.groups(make_docs([])).count() == 0 and minhash.groups(make_docs([(1, None), (None, "x")])).count() == 1
 
 
+def test_minhash_groups_of_copies_edited_from_one_text(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(11)
+    master = [f"m{k}" for k in range(300)]
+    rows = [(9_999, " ".join(master))]
+    for j in range(160):  # each is near the master, no two are near each other
+        at = set((rng.choice(42, 7, replace=False) * 7 + 3).tolist())
+        rows.append((j, " ".join(f"e{j}x{k}" if k in at else w for k, w in enumerate(master))))
+    what = minhash.Near(size=3, percent=85)
+    want = brute_groups(rows, what.size, what.percent)
+    assert {c for _, c in want.values()} == {0}
+    for members in (10,):
+        monkeypatch.setattr(minhash, "BLOCK_MEMBERS", members, raising=False)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.groups(make_docs(rows), what).collect()} == want
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     shared, a, b = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (800, 100, 100))
