@@ -294,6 +294,24 @@ def test_repeated_passages(spark, sf_dir, make_docs, odd_rows):
     assert substring_dedup.repeated_passages(make_docs([])).count() == 0
 
 
+def test_passages_are_measured_before_they_are_split():
+    what = substring_dedup.Passages()
+
+    def elements(tokens):
+        return substring_dedup._elements(pa.array([" ".join(tokens).encode()]), what.size)[0]
+
+    base = [f"p{k}" for k in range(98)]
+    for n in range(7, 13):  # neither half has 50 words
+        longer = [*base[:49], *(f"new{k}" for k in range(n)), *base[49:]]
+        for left, right in ((longer, base), (base, longer)):
+            around = [*(f"x{k}" for k in range(30)), *left, *(f"y{k}" for k in range(30))]
+            ((start, end, count, *_, similarity),) = substring_dedup._verified(elements(around), elements(right), what)
+            assert " ".join(around).encode()[start:end].decode().split() == left and count == len(left)
+            assert similarity == pytest.approx(90 / (98 + n))
+    twice = [f"p{k}" if k not in (45, 51) else f"q{k}" for k in range(98)]
+    assert [r[2] for r in substring_dedup._verified(elements(twice), elements(base), what)] == [98]
+
+
 def held_out(doc, modulus, rest):
     return zlib.crc32(str(doc).encode()) % modulus == rest
 
