@@ -46,6 +46,8 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.drops_space = self.tokenizer.normalizer is not None  # lower case, white space dropped
+        largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
+        self.kind = np.uint16 if largest < 1 << 16 else np.uint32
         self.chars = _byte_chars()
         self.seen: dict[bytes, int] = {}
         self._clear()
@@ -56,7 +58,7 @@ class PieceEncoder:
 
     def _clear(self) -> None:
         self.seen.clear()
-        self.flat = np.zeros(1 << 16, np.uint16)
+        self.flat = np.zeros(1 << 16, self.kind)
         self.begin = np.zeros(1 << 16, np.int64)
         self.used = 0
 
@@ -123,7 +125,7 @@ class PieceEncoder:
         `data` and `offsets` are as from `common.buffers`.
         """
         if len(data) == 0:
-            return np.zeros(0, np.uint16), np.zeros(len(offsets), np.int64)
+            return np.zeros(0, self.kind), np.zeros(len(offsets), np.int64)
         starts = self._pieces(data, offsets)
         if self.drops_space:  # fewer distinct pieces; only where no byte beyond ASCII or of a special token is near
             odd = np.add.reduceat((data >= 128) | (data == 60), starts, dtype=np.int32) > 0

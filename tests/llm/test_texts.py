@@ -13,7 +13,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from cadastra.llm import byte_bpe, line_dedup, minhash, packing, quality, substring_dedup, token_files, toxicity
 from cadastra.llm.common import buffers, components, hot_keys, spread_join, table, written
@@ -56,6 +56,18 @@ def test_pieces_give_the_ids_of_whole_texts(path, texts):
 _CACHE: dict = {}
 
 
+def test_ids_above_16_bits(tmp_path):
+    chars = [*PieceEncoder(BYTE).chars.values()]
+    vocabulary = {c: k for k, c in enumerate([*chars, *(f"filler{k}" for k in range(70_000)), "on", "one", "Ġone"])}
+    large = Tokenizer(models.BPE(vocab=vocabulary, merges=[("o", "n"), ("on", "e"), ("Ġ", "one")]))
+    large.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    large.save(str(tmp_path / "large.json"))
+    texts = ["one one two", "", "one"]
+    ids, at = PieceEncoder(str(tmp_path / "large.json")).encode(*buffers(pa.array(texts)))
+    want = [e.ids for e in large.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want and max(want[0]) > 1 << 16
+
+
 @settings(max_examples=80, deadline=None)
 @given(texts=TEXTS)
 def test_ranks_give_the_ids_of_tiktoken(texts):
