@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by inner product: an NN-descent graph over all vectors, searched greedily.
 
-Equal vectors are one node. Nodes get one more component, which makes their norms equal, so that near in the graph
-means a large inner product. The first graph comes from blocks of random projections; NN-descent then joins each
+Equal vectors are one node. Nodes get one more component, which makes their norms equal; a query has zero there and
+norm one, so that the nearest nodes to it are those of the largest inner product, whatever their norms. The first graph comes from blocks of random projections; NN-descent then joins each
 node's neighbours, in both directions, with each other, round by round, as Spark joins. A query starts from its own
-node's neighbours and always goes on from the best nodes not yet left. Vectors travel in half precision; the results
+node's neighbours, the longest nodes and some others, and goes on from the best nodes not yet left until its beam has
+none. Vectors travel in half precision; the results
 are scored again on the original vectors in double precision.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +26,8 @@ from cadastra.llm.common import forget, hot_keys, spread_join, written
 @dataclass(frozen=True)
 class Graph:
     """Parameters: neighbours kept, projections, rows of a block, reverse neighbours joined, proposals of a join for a
-    node, rounds at most and the share of changed neighbours that ends them; beam, nodes left at once and rounds of a search.
+    node, rounds at most and the share of changed neighbours that ends them; beam, nodes left at once and rounds of a
+    search (None: until no node of the beam is open), entry nodes (as many of the longest as of any length).
     """
 
     neighbours: int = 32
@@ -36,7 +39,8 @@ class Graph:
     settled: float = 0.03
     beam: int = 64
     leave: int = 12
-    steps: int = 4
+    steps: int | None = None
+    entries: int = 64
 
 
 def usable(table: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -189,32 +193,35 @@ def _sum(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()]), pa.array([n])], names=["total", "n"])
 
 
-def _similar(pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Add the inner product of `query` and `id` (both nodes) in half precision; the added component is left out."""
+def _similar(pairs: DataFrame, nodes: DataFrame, asking: DataFrame, width: int) -> DataFrame:
+    """Add the inner product of `query` (with its direction `here` in `asking`) and `id` in half precision; the added component is left out."""
 
     @F.arrow_udf("float")
     def product(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array(np.einsum("ij,ij->i", _half(a, width)[:, :-1], _half(b, width)[:, :-1]))
 
     there = spread_join(pairs, nodes.select(F.col("node").alias("id"), F.col("h").alias("there")), ["id"], ["query"], hot_keys(pairs, ["id"]))
-    here = nodes.select(F.col("node").alias("query"), F.col("h").alias("here"))
-    return there.join(here, "query").select("query", "id", product("here", "there").alias("similarity"))
+    return there.join(asking, "query").select("query", "id", product("here", "there").alias("similarity"))
 
 
-def greedy(queries: DataFrame, nodes: DataFrame, graph: DataFrame, width: int, what: Graph) -> DataFrame:
-    """query, id: the best nodes found for each of `queries` (query, a node each), `beam` at most."""
-    start = graph.select(F.col("node").alias("query"), "id").join(queries, "query").unionAll(queries.select("query", F.col("query").alias("id")))
-    beam = written(_similar(start, nodes, width).withColumn("open", F.lit(True)))
+def greedy(queries: DataFrame, nodes: DataFrame, entries: DataFrame, graph: DataFrame, width: int, what: Graph) -> DataFrame:
+    """query, id: the best nodes found for each of `queries` (query, a node each, and `here`), `beam` at most.
+
+    A node that fell out of a beam is behind all of it and never comes back, so the search ends.
+    """
+    own = graph.select(F.col("node").alias("query"), "id").join(queries.select("query"), "query").unionAll(queries.select("query", F.col("query").alias("id")))
+    start = written(own.unionAll(queries.select("query").crossJoin(F.broadcast(entries.select(F.col("node").alias("id"))))).distinct())
     best = [F.desc("similarity"), F.asc("id")]
+    beam = written(_ranked(_similar(start, nodes, queries, width).withColumn("open", F.lit(True)), "query", best, what.beam))
     links = graph.select(F.col("node").alias("id"), F.col("id").alias("next"))
-    for _ in range(what.steps):
+    for _ in itertools.count() if what.steps is None else range(what.steps):
         front = _ranked(beam.where("open"), "query", best, what.leave).select("query", "id")
         front = written(front)
         if front.isEmpty():
             break
         seen = beam.select("query", "id")
         further = spread_join(front, links, ["id"], ["query"], hot_keys(front, ["id"])).select("query", F.col("next").alias("id")).distinct()
-        found = _similar(written(further.join(seen, ["query", "id"], "left_anti")), nodes, width).withColumn("open", F.lit(True))
+        found = _similar(written(further.join(seen, ["query", "id"], "left_anti")), nodes, queries, width).withColumn("open", F.lit(True))
         left = beam.join(front.withColumn("left", F.lit(True)), ["query", "id"], "left")
         left = left.select("query", "id", "similarity", (F.col("open") & F.col("left").isNull()).alias("open"))
         following = written(_ranked(left.unionAll(found), "query", best, what.beam))
@@ -248,6 +255,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, what: Graph = Grap
         packed = np.concatenate([rows, rest[:, None]], axis=1).astype(np.float16)
         return pa.array([row.tobytes() for row in packed], pa.binary())
 
+    @F.arrow_udf("binary")
+    def direction(column: pa.Array) -> pa.Array:
+        rows = _rows(column, width)
+        rows = rows / np.abs(rows).max(axis=1)[:, None]
+        packed = np.pad(rows / np.sqrt((rows**2).sum(axis=1))[:, None], ((0, 0), (0, 1))).astype(np.float16)
+        return pa.array([row.tobytes() for row in packed], pa.binary())
+
     marked = written(table.withColumn("mark", mark("v")))
     # of equal vectors only the k + 1 smallest ids can be among the nearest; the smallest stands for all
     members = written(_ranked(marked.select("mark", "vec_id"), "mark", [F.asc("vec_id")], k + 1))
@@ -258,7 +272,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, what: Graph = Grap
     graph = build(light, width + 1, what)
     asked = marked.where("asked").select(F.col("vec_id").alias("query_id"), "mark")
     asked = written(spread_join(asked, reps, ["mark"], ["query_id"], hot_keys(asked, ["mark"])).select("query_id", F.col("node").alias("query")))
-    found = greedy(asked.select("query").distinct(), light, graph, width + 1, what)
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    longest_nodes = nodes.orderBy(length.desc(), "node").select("node").limit(what.entries)
+    entries = longest_nodes.unionAll(nodes.orderBy(F.xxhash64("node"), "node").select("node").limit(what.entries)).distinct()
+    asking = nodes.join(asked.select(F.col("query").alias("node")).distinct(), "node").select(F.col("node").alias("query"), direction("v").alias("here"))
+    found = greedy(written(asking), light, written(entries), graph, width + 1, what)
 
     @F.arrow_udf("double")
     def exact(a: pa.Array, b: pa.Array) -> pa.Array:

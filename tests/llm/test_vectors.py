@@ -85,6 +85,25 @@ def test_graph_joins_improve_recall(spark):
     assert high >= 0.9 and high > low
 
 
+def test_neighbours_of_vectors_of_mixed_norms(spark):
+    rng = np.random.default_rng(9)
+    points = rng.standard_normal((4_000, 24))
+    points *= (np.exp(1.2 * rng.standard_normal(4_000)) / np.linalg.norm(points, axis=1))[:, None]
+    points[::40] *= 1e-6  # some queries are far below half precision beside the longest vector
+    points = points.astype(np.float32).astype(float)
+    df = neighbours.usable(frame(spark, [(k, [float(x) for x in v]) for k, v in enumerate(points)]))
+    rows = neighbours.search(df, F.col("vec_id") % 20 == 0, what=neighbours.Graph(block=500)).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    score = points[::20] @ points.T
+    score[np.arange(200), np.arange(0, 4_000, 20)] = -np.inf
+    exact = np.argsort(-score, axis=1)[:, :20]
+    recall = np.mean([len(found[20 * k] & set(exact[k].tolist())) / 20 for k in range(200)])
+    print("recall", recall)
+    assert recall >= 0.95
+
+
 def test_registered_queries(spark, sf_dir):
     queries = entry.queries()
     names = {n.split("_")[0] for n in queries if n.startswith("op") and n[2].isdigit()}
