@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import byte_bpe, line_dedup, minhash, neighbours, packing, quality, substring_dedup, token_files, top_k, toxicity
+from cadastra.llm import (
+    byte_bpe,
+    hard_negatives,
+    lexical,
+    line_dedup,
+    minhash,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    substring_dedup,
+    token_files,
+    top_k,
+    toxicity,
+)
 from cadastra.llm.common import table, written
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +100,27 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files with Elias-Fano boundaries, written and read back."""
     files = written(token_files.blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
     return token_files.read(files)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector: rows of other labels that score nearly as high as its positives."""
+    return hard_negatives.mine(hard_negatives.usable(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+LLM_ORACLES["op11_hard_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+LLM_ORACLES["op12_lexical_search"] = lexical.ORACLE
+
+
+@query
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints differ in three bits at most."""
+    return simhash.groups(table(spark, sf_dir, "documents"))
