@@ -18,7 +18,6 @@ STATE_LAYOUT = {"level": 3, "rows": 50_000}
 COUNTY_LAYOUT = {"level": 9, "rows": 10_000}
 
 UNASSIGNED = "unassigned"
-PUBLISHED = "_published"
 TASK_BYTES = 256 * 1024 * 1024
 FILE_ROWS = 5_000_000
 
@@ -104,12 +103,15 @@ def by_county(df: DataFrame, tie: tuple[str, ...], partitions: int | None = None
 
 
 def _in_group_order(df: DataFrame, keys: list[str], tie: tuple[str, ...], partitions: int | None) -> DataFrame:
+    return ordered_in_groups(df, keys, tie, extents_by(df, *keys), partitions)
+
+
+def ordered_in_groups(df: DataFrame, keys: list[str], tie: tuple[str, ...], extents: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows in Hilbert order inside the extent of their group; `extents` has one row for each group."""
     # The keys are two- and three-digit codes or 'unassigned' (101 * 1,001 values at most), so the extents are a
     # bounded table and broadcasting them is safe.
-    extents = extents_by(df, *keys).select(*keys, F.struct("xmin", "ymin", "xmax", "ymax").alias("_extent"))
-    placed = df.join(F.broadcast(extents), keys).withColumn(
-        "_hilbert", hilbert_of_box(F.col("bbox"), F.col("_extent"))
-    )
+    boxes = extents.select(*keys, F.struct("xmin", "ymin", "xmax", "ymax").alias("_extent"))
+    placed = df.join(F.broadcast(boxes), keys).withColumn("_hilbert", hilbert_of_box(F.col("bbox"), F.col("_extent")))
     return _sorted_by(placed, [*keys, "_hilbert"], list(tie), partitions).drop("_hilbert", "_extent")
 
 
@@ -119,34 +121,6 @@ def write_by_state(df: DataFrame, path: str, tie: tuple[str, ...] = ("parcel_id"
     write_parquet(by_state(df, tie, partitions), path, **STATE_LAYOUT, partition_by=("state",), mode=mode)
 
 
-def write_by_county(
-    df: DataFrame, path: str, tie: tuple[str, ...] = ("parcel_id",), partitions: int | None = None,
-    overwrite: bool = False,
-) -> None:
-    """Publish path/state=XX/county=YYY/; counties already published are skipped unless `overwrite`.
-
-    A county counts as published when its entry is in path/_published, which is written after the data. What a run that
-    died left behind has no entry and is replaced.
-    """
-    keys = ["state", "county"]
-    rows = with_partition_keys(with_box(df))
-    if not overwrite:
-        rows = skip_existing(rows, path, keys)
-    ordered = _in_group_order(rows, keys, tie, partitions)
-    write_parquet(ordered, path, **COUNTY_LAYOUT, partition_by=tuple(keys))
-    if path_exists(df.sparkSession, f"{path.rstrip('/')}/{keys[0]}=*"):
-        stored = read_hive(df.sparkSession, path).groupBy(*keys).agg(F.count("*").alias("n"))
-        stored.write.mode("append").json(f"{path.rstrip('/')}/{PUBLISHED}")
-
-
-def existing_partitions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
-    """Partition keys already published under a path, from its entries, or None when there is nothing."""
-    entries = f"{path.rstrip('/')}/{PUBLISHED}"
-    if not path_exists(spark, f"{entries}/_SUCCESS"):
-        return None
-    return spark.read.schema(", ".join(f"{k} string" for k in keys)).json(entries).distinct()
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything matches a path or glob, on whatever file system it names."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -154,12 +128,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def skip_existing(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Rows whose partition is not published yet."""
-    published = existing_partitions(df.sparkSession, path, keys)
-    return df if published is None else df.join(F.broadcast(published), keys, "left_anti")
-
-
 def write_by_raw_keys(df: DataFrame, path: str, tie: tuple[str, ...] = ("parcel_id",), partitions: int | None = None) -> None:
     """Publish path/statefp=XX/countyfp=YYY/ (the raw column names as directories)."""
     ordered = _sorted_by(df, ["statefp", "countyfp"], list(tie), partitions)

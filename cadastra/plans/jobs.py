@@ -12,7 +12,8 @@ from cadastra.functions.geometry import Box
 from cadastra.operators import filters, layout, quality, reports, tiling
 from cadastra.operators.normalize import normalize
 from cadastra.operators.simplify import simplify
-from cadastra.sources import geojson, jdbc, tables
+from cadastra.plans import rebuild
+from cadastra.sources import geojson, jdbc
 
 TIE = ("parcelid", "lrid")
 
@@ -152,18 +153,11 @@ def full_run(raw: DataFrame, statefp: str, name: str, root: str, url: str | None
 
 
 def incremental_state(raw: DataFrame, statefp: str, root: str) -> dict[str, str]:
-    """Extract, county split and catalogue of one state; counties already published are left alone."""
-    spark = raw.sparkSession
+    """Extract, county split, tiles and catalogue of one state; what its input has not changed is left alone."""
+    rebuild.rebuild_state(raw, statefp, root, TIE)
     base = root.rstrip("/")
-    state_path = f"{base}/by_state/state={statefp}"
-    if not layout.path_exists(spark, f"{state_path}/_SUCCESS"):  # a write that ended leaves this file
-        publish_state(raw, statefp, f"{base}/by_state")
-    county_path = f"{base}/by_county"
-    layout.write_by_county(spark.read.parquet(state_path), county_path, TIE)
-    catalogue = f"{base}/_catalogue/state={statefp}"
-    layout.write_manifest(tables.read_hive(spark, county_path).where(F.col("state") == statefp),
-                          ["state", "county"], catalogue)
-    return {"state": state_path, "counties": county_path, "catalogue": catalogue}
+    return {"state": f"{base}/by_state/state={statefp}", "counties": f"{base}/by_county", "tiles": f"{base}/tiles",
+            "catalogue": f"{base}/_catalogue/state={statefp}"}
 
 
 def publish(dataset: DataFrame, bucket: str, prefix: str, statefp: str) -> str:

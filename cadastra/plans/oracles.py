@@ -451,6 +451,19 @@ WITH {RAW} SELECT lrid, 5 + CAST(lrid % 2 = 0 AS INTEGER) AS vertices,
     "layout_roundtrip": f"WITH {RAW} SELECT statefp AS state, countyfp AS county, lrid, totalvalue, {BOX} FROM raw",
     "incremental_counties": f"""
 WITH {RAW} SELECT statefp AS state, countyfp AS county, count(*) AS n FROM raw GROUP BY statefp, countyfp""",
+    "recovered_states": f"""
+WITH {RAW} SELECT statefp AS state, countyfp AS county, count(*) AS n, CAST(sum(totalvalue) AS BIGINT) AS total, CAST(sum(lrid) AS BIGINT) AS keys
+FROM raw GROUP BY statefp, countyfp""",
+    "county_order": f"""
+WITH {RAW} SELECT statefp AS state, countyfp AS county, count(*) AS n, count(*) AS in_order FROM raw GROUP BY statefp, countyfp""",
+    "incremental_rebuild": f"""
+WITH {RAW}, part AS (SELECT raw.* FROM raw JOIN st ON fips = statefp
+  WHERE statefp = '37' AND raw.xmin <= x1 AND raw.xmax >= x0 AND raw.ymin <= y1 AND raw.ymax >= y0),
+stay AS (SELECT * FROM part WHERE countyfp <> '023'), {_tiles('stay', 'lrid, countyfp', 12, 16)},
+a AS (SELECT countyfp, count(*) AS n, CAST(sum(CASE WHEN countyfp = '013' THEN 1 ELSE totalvalue END) AS BIGINT) AS total FROM stay GROUP BY countyfp),
+t AS (SELECT countyfp, count(*) AS tile_rows FROM tile GROUP BY countyfp),
+b AS (SELECT DISTINCT countyfp, 'counties,tiles' AS rebuilt FROM part WHERE countyfp IN ('013', '023'))
+SELECT countyfp AS county, n, total, tile_rows, rebuilt FROM a FULL JOIN t USING (countyfp) FULL JOIN b USING (countyfp)""",
     "raw_key_layout": f"WITH {RAW} SELECT statefp, countyfp, lrid, totalvalue FROM raw",
     "cell_layout": f"WITH {RAW} SELECT lrid, {BOX} FROM raw",
     "box_extract_files": f"WITH {RAW} SELECT lrid, statefp FROM raw WHERE {SEARCH}",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra import lookups
@@ -12,10 +12,10 @@ from cadastra.functions import display as D
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.functions.hilbert import hilbert_of_box
-from cadastra.operators import enrich, filters, layout, normalize, quality, reports, sampling, search, simplify
+from cadastra.operators import enrich, filters, layout, normalize, publish, quality, reports, sampling, search, simplify
 from cadastra.operators import spatial_join as J
 from cadastra.operators import tiling
-from cadastra.plans import jobs
+from cadastra.plans import jobs, rebuild
 from cadastra.plans import standins as S
 from cadastra.session import shared_folder
 from cadastra.sources import geojson, tables, wkb
@@ -461,19 +461,66 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/by_county"
-    layout.write_by_county(S.raw_multi(spark, sf_dir), path, ("lrid",), overwrite=True)
-    return tables.read_hive(spark, path).select("state", "county", "lrid", "totalvalue", *_box_columns())
+    publish.publish_counties(S.raw_multi(spark, sf_dir), path, ("lrid",), overwrite=True)
+    return publish.read_published(spark, path).select("state", "county", "lrid", "totalvalue", *_box_columns())
+
+
+def _dead_run(rows: DataFrame, path: str) -> None:
+    """What a run leaves that died before its commit."""
+    keyed = layout.with_partition_keys(filters.with_box(rows))
+    publish.write_run(keyed, path, ("lrid",), publish.new_run(), publish.contents(keyed))
 
 
 def incremental_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/by_county"
     raw = S.raw_multi(spark, sf_dir).select("lrid", "statefp", "countyfp", "bbox")
-    layout.write_by_county(filters.of_state(raw, "13"), path, ("lrid",))
-    # what a run that died leaves: some rows of some counties, without an entry
-    half = layout.by_county(filters.of_state(raw, "37").where(F.col("lrid") % 3 == 0), ("lrid",))
-    layout.write_parquet(half, path, partition_by=("state", "county"))
-    layout.write_by_county(raw, path, ("lrid",))
-    return reports.counts_by(tables.read_hive(spark, path), "state", "county", name="n")
+    publish.publish_counties(filters.of_state(raw, "13"), path, ("lrid",))
+    _dead_run(filters.of_state(raw, "37").where(F.col("lrid") % 3 == 0), path)
+    publish.publish_counties(raw, path, ("lrid",))
+    return reports.counts_by(publish.read_published(spark, path), "state", "county", name="n")
+
+
+def recovered_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run dies over state 37; state 13 is published alone, then everything, then county 011 of 37 once more."""
+    path = f"{shared_folder(spark)}/by_county"
+    raw = S.raw_multi(spark, sf_dir).select("lrid", "statefp", "countyfp", "totalvalue", "bbox")
+    _dead_run(filters.of_state(raw, "37").where(F.col("lrid") % 2 == 0), path)
+    publish.publish_counties(filters.of_state(raw, "13"), path, ("lrid",))
+    publish.publish_counties(raw, path, ("lrid",))
+    _dead_run(raw.where(F.col("lrid") % 5 == 0), path)
+    publish.publish_counties(filters.of_county(raw, "37", "013"), path, ("lrid",), overwrite=True)
+    publish.vacuum(spark, path)
+    found = publish.read_published(spark, path)
+    return found.groupBy("state", "county").agg(F.count("*").alias("n"), F.sum("totalvalue").alias("total"), F.sum("lrid").alias("keys"))
+
+
+def county_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each published county, and how many lie in the Hilbert order of the county's own extent."""
+    path = f"{shared_folder(spark)}/by_county"
+    publish.publish_counties(S.raw_multi(spark, sf_dir).select("lrid", "statefp", "countyfp", "bbox"), path, ("lrid",))
+    rows = publish.read_published(spark, path)
+    box = F.struct(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]).alias("e")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
+    placed = rows.select("state", "county", "bbox", *place).join(publish.committed(spark, path).select("state", "county", box), ["state", "county"])
+    placed = placed.withColumn("h", hilbert_of_box(F.col("bbox"), F.col("e")))
+    before = F.lag("h").over(Window.partitionBy("file").orderBy("at"))
+    ordered = placed.withColumn("ok", F.coalesce(before <= F.col("h"), F.lit(True)))
+    return ordered.groupBy("state", "county").agg(F.count("*").alias("n"), F.count_if("ok").alias("in_order"))
+
+
+def incremental_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state is built, one of its counties changes and one goes; what was built at the second run, and what is there."""
+    root = shared_folder(spark)
+    raw = S.raw_multi(spark, sf_dir)
+    rebuild.rebuild_state(raw, "37", root, ("lrid",))
+    changed = raw.where(F.col("countyfp") != "023").withColumn("totalvalue", F.when(F.col("countyfp") == "013", 1).otherwise(F.col("totalvalue")).cast("long"))
+    done = rebuild.rebuild_state(changed, "37", root, ("lrid",))
+    again = rebuild.rebuild_state(changed, "37", root, ("lrid",))
+    marks = [(c, name) for name, keys in done.items() for _, c in keys if c] + [("", name) for name, keys in again.items() if keys]
+    built = spark.createDataFrame(marks, "county string, name string").groupBy("county").agg(F.array_join(F.sort_array(F.collect_list("name")), ",").alias("rebuilt"))
+    stored = publish.read_published(spark, f"{root}/by_county").groupBy("county").agg(F.count("*").alias("n"), F.sum("totalvalue").alias("total"))
+    tiles = publish.read_published(spark, f"{root}/tiles").groupBy("county").agg(F.count("*").alias("tile_rows"))
+    return stored.join(tiles, "county", "full").join(built, "county", "full")
 
 
 def partition_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,8 +576,8 @@ def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     for _ in range(2):  # the second run finds everything published
         paths = jobs.incremental_state(S.raw_multi(spark, sf_dir), "37", root)
-    found = tables.read_hive(spark, paths["counties"])
-    return reports.counts_by(found.where(F.col("state") == "37"), "county", name="n")
+    found = publish.read_published(spark, paths["counties"], F.col("state") == "37")
+    return reports.counts_by(found, "county", name="n")
 
 
 def owners_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -624,7 +671,7 @@ QUERIES: dict[str, Query] = {
         use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_clipped, tile_largest,
         large_parcel_tiles, boundary_tiles, tile_layers, tile_request, centroid_request, packed_tiles, cell_summary,
         cell_partitions, value_classes, value_colors, popup_fields, geometry_measures, vertex_profile, reprojected,
-        simplified, wkb_roundtrip, geojson_features, layout_roundtrip, incremental_counties, partition_manifest,
+        simplified, wkb_roundtrip, geojson_features, layout_roundtrip, incremental_counties, recovered_states, county_order, incremental_rebuild, partition_manifest,
         layout_overlap, raw_key_layout, cell_layout, box_extract_files, county_parallel_state, published_states,
         incremental_state, owners_cleaned, created_rows, attribute_rows, manifest_extent, refreshed_version, dataset_inventory, column_profile, status_report, quality_report,
         duplicate_keys, unknown_counties, random_sample, page_of_rows, page_after_key, number_matched,

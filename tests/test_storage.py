@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 from cadastra.functions.hilbert import hilbert_of_box
-from cadastra.operators import filters, layout, quality, reports
+from cadastra.operators import filters, layout, publish, quality, reports
 from cadastra.plans import jobs
 from cadastra.plans import standins as S
 from cadastra.schemas import PARCEL_RAW
@@ -42,8 +42,8 @@ def test_sorted_files_have_bounded_row_groups_in_order(spark, sf_dir, tmp_path):
 def test_county_layout(spark, sf_dir, tmp_path):
     path = str(tmp_path / "c")
     source = raw(spark, sf_dir).withColumn("countyfp", F.when(F.col("lrid") != 5, F.col("countyfp")))
-    layout.write_by_county(source, path, ("lrid",), overwrite=True)
-    back = tables.read_hive(spark, path)
+    publish.publish_counties(source, path, ("lrid",), overwrite=True)
+    back = publish.read_published(spark, path)
     assert dict(back.dtypes)["state"] == dict(back.dtypes)["county"] == "string"
     assert back.count() == 1500
     assert [r.lrid for r in back.where("county = 'unassigned'").collect()] == [5]
@@ -64,16 +64,6 @@ def test_county_layout(spark, sf_dir, tmp_path):
         assert h == sorted(h)
 
 
-def test_existing_counties_are_skipped(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "c")
-    source = raw(spark, sf_dir)
-    layout.write_by_county(filters.of_state(source, "13"), path, ("lrid",))
-    before = {f: pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{path}/state=13/*/*.parquet")}
-    layout.write_by_county(source, path, ("lrid",))
-    assert {f: pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{path}/state=13/*/*.parquet")} == before
-    assert tables.read_hive(spark, path).count() == 1500
-
-
 def test_other_layouts_and_catalogue(spark, sf_dir, tmp_path):
     source = raw(spark, sf_dir).select("lrid", "statefp", "countyfp", "totalvalue", "bbox")
     layout.write_by_cell(source, str(tmp_path / "cell"), tie=("lrid",))
@@ -105,7 +95,7 @@ def test_jobs(spark, sf_dir, tmp_path):
     again = jobs.incremental_state(source, "13", root)
     assert done == again
     georgia = source.where("statefp = '13'").count()
-    assert tables.read_hive(spark, done["counties"]).count() == georgia
+    assert publish.read_published(spark, done["counties"]).count() == georgia
     jobs.publish_all_states(source, f"{root}/all")
     assert tables.read_hive(spark, f"{root}/all").count() == 1500
     jobs.county_parallel_extract(source, "37", f"{root}/nc")
@@ -230,14 +220,6 @@ def test_query_and_settings(spark, sf_dir):
     assert tables.blob_path("acct", "parcels", "/x") == "abfss://parcels@acct.dfs.core.windows.net/x"
 
 
-def test_overwrite_replaces_only_the_partitions_it_writes(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "c")
-    source = raw(spark, sf_dir).select("lrid", "statefp", "countyfp", "bbox")
-    layout.write_by_county(source, path, ("lrid",))
-    layout.write_by_county(filters.of_state(source, "13"), path, ("lrid",), overwrite=True)
-    assert tables.read_hive(spark, path).count() == 1500
-
-
 def test_landed_extract_and_append(spark, sf_dir, tmp_path):
     path = str(tmp_path / "landed")
     source = raw(spark, sf_dir)
@@ -263,16 +245,6 @@ def test_thinning_draws_by_the_given_key(spark, sf_dir, tmp_path):
     assert max(per_zoom) == 16 and all(per_zoom[z] <= per_zoom[z + 1] for z in per_zoom if z + 1 in per_zoom)
 
 
-def test_half_written_counties_are_written_again(spark, sf_dir, tmp_path):
-    path, source = str(tmp_path / "by_county"), raw(spark, sf_dir)
-    half = layout.by_county(filters.of_state(source, "13").where("lrid % 2 = 0"), ("lrid",))
-    layout.write_parquet(half, path, partition_by=("state", "county"))
-    layout.write_by_county(source, path, ("lrid",))
-    assert tables.read_hive(spark, path).count() == source.count()
-    entries = layout.existing_partitions(spark, path, ["state", "county"])
-    assert entries.count() == tables.read_hive(spark, path).select("state", "county").distinct().count()
-
-
 def test_shared_folder_needs_a_named_place_on_a_cluster(spark, monkeypatch):
     from types import SimpleNamespace
 
