@@ -75,7 +75,8 @@ def bbox_of(geom: Column) -> Column:
     return F.when(F.size(pts) > 0, found)
 
 
-def _segments(ring: Column) -> Column:
+def segments(ring: Column) -> Column:
+    """Sides of a closed ring as array<struct<x1,y1,x2,y2>>."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))
     return F.zip_with(
         F.slice(ring, F.lit(1), n),
@@ -86,14 +87,15 @@ def _segments(ring: Column) -> Column:
 
 def edges(geom: Column) -> Column:
     """All boundary segments as array<struct<x1,y1,x2,y2>>."""
-    return F.flatten(F.transform(rings(geom), _segments))
+    return F.flatten(F.transform(rings(geom), segments))
 
 
-def _ring_area(ring: Column) -> Column:
+def ring_area(ring: Column) -> Column:
+    """Signed area of a closed ring: positive when it runs counter-clockwise."""
     # Shoelace around the first vertex: small differences keep the digits that absolute longitudes lose.
     o = ring[0]
     return F.aggregate(
-        _segments(ring),
+        segments(ring),
         F.lit(0.0),
         lambda acc, e: acc
         + ((e["x1"] - o["x"]) * (e["y2"] - o["y"]) - (e["x2"] - o["x"]) * (e["y1"] - o["y"])) / F.lit(2.0),
@@ -107,7 +109,7 @@ def area(geom: Column) -> Column:
         F.lit(0.0),
         lambda acc, poly: acc
         + F.aggregate(
-            F.transform(poly, lambda ring, i: F.abs(_ring_area(ring)) * F.when(i == 0, 1.0).otherwise(-1.0)),
+            F.transform(poly, lambda ring, i: F.abs(ring_area(ring)) * F.when(i == 0, 1.0).otherwise(-1.0)),
             F.lit(0.0),
             lambda s, v: s + v,
         ),
@@ -138,7 +140,7 @@ def centroid(geom: Column) -> Column:
                 (w * (acc["cy"] + F.lit(3.0) * acc["a"] * o["y"])).alias("cy"),
             )
 
-        return F.aggregate(_segments(ring), zero, step, finish)
+        return F.aggregate(segments(ring), zero, step, finish)
 
     parts = F.flatten(
         F.transform(
@@ -275,7 +277,7 @@ def _trapezoids(geom: Column) -> Column:
 
     def of_ring(ring: Column, role: Column) -> Column:
         # The orientation of a ring is normalized, so clockwise and counter-clockwise input agree.
-        sign = role * F.when(_ring_area(ring) > 0, -1.0).otherwise(1.0)
+        sign = role * F.when(ring_area(ring) > 0, -1.0).otherwise(1.0)
 
         def trap(w: Column, e: Column) -> Column:
             forward = e["x1"] < e["x2"]
@@ -287,7 +289,7 @@ def _trapezoids(geom: Column) -> Column:
                 (w * F.when(forward, 1.0).otherwise(-1.0)).alias("w"),
             )
 
-        slanted = F.filter(_segments(ring), lambda e: e["x1"] != e["x2"])
+        slanted = F.filter(segments(ring), lambda e: e["x1"] != e["x2"])
         return let(sign, lambda w: F.transform(slanted, lambda e: trap(w, e)))
 
     return F.flatten(
@@ -353,7 +355,7 @@ def snapped(geom: Column) -> Column:
     return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, snap)))
 
 
-def _near(x: Column, y: Column, e: Column) -> Column:
+def near_segment(x: Column, y: Column, e: Column) -> Column:
     """A point is at most one grid step away from a segment."""
     dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
     off = dx * (y - e["y1"]) - dy * (x - e["x1"])
@@ -369,7 +371,7 @@ def _rims_near(a: Column, b: Column) -> Column:
 
     def meet(p: Column, q: Column) -> Column:
         return (
-            _near(q["x1"], q["y1"], p) | _near(q["x2"], q["y2"], p) | _near(p["x1"], p["y1"], q) | _near(p["x2"], p["y2"], q)
+            near_segment(q["x1"], q["y1"], p) | near_segment(q["x2"], q["y2"], p) | near_segment(p["x1"], p["y1"], q) | near_segment(p["x2"], p["y2"], q)
             | _segments_meet(p, q)
         )
 
@@ -462,6 +464,11 @@ def to_wkt(geom: Column, digits: int = 7) -> Column:
     )
 
 
+def closed(points: Column) -> Column:
+    """A ring that ends where it begins, from its points."""
+    return let(points, lambda v: F.concat(v, F.slice(v, 1, 1)))
+
+
 def map_points(geom: Column, f) -> Column:
     """Apply `f(point) -> point` to every vertex."""
     return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, f)))

@@ -346,6 +346,23 @@ outer_side AS (SELECT p_brand, c1, r1, c2, r2 FROM side GROUP BY ALL HAVING coun
 SELECT p_brand, round(-84.5::DOUBLE + c1 * 0.0005::DOUBLE, 5) AS x1, round(31.0::DOUBLE + r1 * 0.0005::DOUBLE, 5) AS y1,
   round(-84.5::DOUBLE + c2 * 0.0005::DOUBLE, 5) AS x2, round(31.0::DOUBLE + r2 * 0.0005::DOUBLE, 5) AS y2
 FROM outer_side""",
+    "dissolved_polygons": """
+WITH RECURSIVE cell AS (SELECT p_size % 2 AS odd, p_partkey % 61 + 61 * (p_partkey // 3050000) AS c, (p_partkey // 61) % 50000 AS r FROM part),
+reach AS (
+  SELECT odd, c, r, c AS c2, r AS r2 FROM cell
+  UNION SELECT reach.odd, reach.c, reach.r, n.c, n.r FROM reach JOIN cell n ON n.odd = reach.odd AND abs(n.c - c2) + abs(n.r - r2) = 1),
+member AS (SELECT odd, c, r, min(r2 * 1000000 + c2) AS shape FROM reach GROUP BY odd, c, r),
+around AS (SELECT odd, shape, c + dc AS x, r + dr AS y, c, r FROM member, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) d(dc, dr)),
+point AS (SELECT odd, shape, x, y, count(*) AS n, max(c) > min(c) AND max(r) > min(r) AS across FROM around GROUP BY odd, shape, x, y),
+v AS (SELECT odd, shape, count(*) AS v, sum(CASE WHEN n IN (1, 3) THEN 1 WHEN n = 2 AND across THEN 2 ELSE 0 END) AS corners FROM point GROUP BY odd, shape),
+side AS (
+  SELECT odd, shape, c, r, 'h' AS way FROM member UNION SELECT odd, shape, c, r + 1, 'h' FROM member
+  UNION SELECT odd, shape, c, r, 'v' FROM member UNION SELECT odd, shape, c + 1, r, 'v' FROM member),
+e AS (SELECT odd, shape, count(*) AS e FROM side GROUP BY odd, shape),
+f AS (SELECT odd, shape, count(*) AS f, min(c) AS c, min(r) AS r FROM member GROUP BY odd, shape)
+SELECT odd, round(-84.5::DOUBLE + c * 0.0005::DOUBLE, 5) AS xmin, round(31.0::DOUBLE + r * 0.0005::DOUBLE, 5) AS ymin, CAST(f AS DOUBLE) AS lots,
+  CAST(2 - (v - e + f) AS INTEGER) AS rings, CAST(corners AS INTEGER) AS corners
+FROM f JOIN e USING (odd, shape) JOIN v USING (odd, shape)""",
     "raster_sample": f"""
 WITH {RAW}, px AS (
   SELECT event_id // 40 AS row, event_id % 40 AS col, avg(value) AS value FROM events GROUP BY 1, 2),

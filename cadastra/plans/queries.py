@@ -12,7 +12,7 @@ from cadastra.functions import display as D
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.functions.hilbert import hilbert_of_box
-from cadastra.operators import enrich, filters, layout, normalize, publish, quality, reports, sampling, search, simplify
+from cadastra.operators import dissolve, enrich, filters, layout, normalize, publish, quality, reports, sampling, search, simplify
 from cadastra.operators import spatial_join as J
 from cadastra.operators import tiling
 from cadastra.plans import jobs, rebuild
@@ -275,6 +275,22 @@ def dissolved_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.select("p_brand", *[F.round(c, 5).alias(c) for c in ("x1", "y1", "x2", "y2")])
 
 
+def dissolved_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lots of odd and of even size as polygons with holes. Every third lot comes in two halves, so corners lie on sides."""
+    lots = S.lots(spark, sf_dir).select("lot_id", (F.col("p_size") % 2).alias("odd"), "bbox")
+    b = F.col("bbox")
+    middle = (b["xmin"] + b["xmax"]) / 2
+    halves = F.array(G.box(b["xmin"], b["ymin"], middle, b["ymax"]), G.box(middle, b["ymin"], b["xmax"], b["ymax"]))
+    parts = lots.select("odd", F.explode(F.when(F.col("lot_id") % 3 == 0, halves).otherwise(F.array(b))).alias("part"))
+    shapes = parts.select("odd", F.array(G.box_polygon(F.col("part"))).alias("geom"))
+    g = F.col("geom")
+    found = dissolve.dissolved_polygons(shapes, "odd")
+    return found.select(
+        "odd", F.round(G.bbox_of(g)["xmin"], 5).alias("xmin"), F.round(G.bbox_of(g)["ymin"], 5).alias("ymin"),
+        F.round(G.area(g) / (S.LOT * S.LOT), 2).alias("lots"), F.size(g[0]).alias("rings"), (G.vertex_count(g) - F.size(g[0])).alias("corners"),
+    )
+
+
 def raster_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = S.parcel_raw(spark, sf_dir).select("lrid", "centroidx", "centroidy")
     sampled = enrich.sample_raster(
@@ -667,7 +683,7 @@ QUERIES: dict[str, Query] = {
         bbox_search, bbox_filter_query, polygon_filter, parcel_detail, search_address, search_owner,
         cross_border_filter, all_states_extract, box_extract, county_selection, high_value_metro, large_parcels,
         sale_range, edge_profile, encoding_profile, hilbert_order, union_by_name, pip_enrich, overlap_share,
-        zone_members, adjacent_parcels, footprint_containment, dissolved_boundary, raster_sample, property_match,
+        zone_members, adjacent_parcels, footprint_containment, dissolved_boundary, dissolved_polygons, raster_sample, property_match,
         use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_clipped, tile_largest,
         large_parcel_tiles, boundary_tiles, tile_layers, tile_request, centroid_request, packed_tiles, cell_summary,
         cell_partitions, value_classes, value_colors, popup_fields, geometry_measures, vertex_profile, reprojected,
