@@ -9,6 +9,7 @@ from pyspark.sql import window as W
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.operators.filters import boxes_overlap
+from cadastra.operators.layout import width_of
 from cadastra.schemas import TILE_PROPERTIES
 
 # Zoom ranges of the pyramids and, where features are thinned, their drop rate.
@@ -39,7 +40,7 @@ def draw_of(*key: str) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(_BUCKETS)) / F.lit(float(_BUCKETS))
 
 
-def _zooms(min_zoom: int, max_zoom: int, base_zoom: int, drop_rate: float | None, draw: Column | None) -> Column:
+def kept_zooms(min_zoom: int, max_zoom: int, base_zoom: int, drop_rate: float | None, draw: Column | None) -> Column:
     """Zooms a feature is kept at. Its draw is the same at every zoom, so a feature kept at one zoom is kept below."""
     if drop_rate is None:
         return F.sequence(F.lit(min_zoom), F.lit(max_zoom))
@@ -50,6 +51,40 @@ def _zooms(min_zoom: int, max_zoom: int, base_zoom: int, drop_rate: float | None
     return F.array_compact(F.array(*kept))
 
 
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows dealt over tasks by a hash of some columns, before work that multiplies them; dense files are evened out.
+
+    The width is that of the session, or one task for each `TASK_BYTES` of input where that is more.
+    """
+    width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), width_of(df) or 0)
+    return df.repartition(width, F.xxhash64(*by))
+
+
+def _met_cells(b: Column, geom: Column | None, zoom: int) -> Column:
+    """Tiles (x, y) of one zoom that a feature meets, as an array.
+
+    A box over one tile, or a single polygon whose box stays in one row or column of tiles, meets all tiles of its box;
+    only others are tested exactly.
+    """
+    z = F.lit(zoom)
+    cover = F.struct(
+        M.tile_x(b["xmin"], z).alias("x0"), M.tile_x(b["xmax"], z).alias("x1"), M.tile_y(b["ymax"], z).alias("y0"), M.tile_y(b["ymin"], z).alias("y1")
+    )
+
+    def cells(c: Column) -> Column:
+        columns = F.sequence(c["x0"], c["x1"])
+        grid = F.flatten(F.transform(columns, lambda x: F.transform(F.sequence(c["y0"], c["y1"]), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+        one = F.array(F.struct(c["x0"].alias("x"), c["y0"].alias("y")))
+        single = (c["x0"] == c["x1"]) & (c["y0"] == c["y1"])
+        if geom is None:
+            return F.when(single, one).otherwise(grid)
+        line = ((c["x0"] == c["x1"]) | (c["y0"] == c["y1"])) & (F.size(geom) == 1)
+        met = F.filter(grid, lambda t: G.intersects_box(geom, M.tile_box(z, t["x"], t["y"])))
+        return F.when(single, one).when(line, grid).otherwise(met)
+
+    return G.let(cover, cells)
+
+
 def tile_features(
     df: DataFrame,
     min_zoom: int,
@@ -62,26 +97,24 @@ def tile_features(
 ) -> DataFrame:
     """One row per feature, zoom and tile, with z, x, y added.
 
-    Features are thinned before they are spread over tiles. A feature whose box lies in one tile meets that tile; only
-    features over several tiles are tested exactly, and only when the table has a geometry.
+    The tiles of a feature are found once, at the largest zoom; a tile further up is met when one of its children is. So
+    nothing is tested again there, and a feature is repeated only for the tiles of the zooms that it is kept at.
     """
-    zooms = _zooms(min_zoom, max_zoom, max_zoom if base_zoom is None else base_zoom, drop_rate, draw)
-    b = F.col(bbox)
-    spread = (
-        df.where(b["xmin"].isNotNull())
-        .withColumn("z", F.explode(zooms))
-        .withColumns({
-            "_x0": M.tile_x(b["xmin"], F.col("z")), "_x1": M.tile_x(b["xmax"], F.col("z")),
-            "_y0": M.tile_y(b["ymax"], F.col("z")), "_y1": M.tile_y(b["ymin"], F.col("z")),
-        })
-        .withColumn("x", F.explode(F.sequence("_x0", "_x1")))
-        .withColumn("y", F.explode(F.sequence("_y0", "_y1")))
-    )
-    if geom is not None and geom in df.columns:
-        single = (F.col("_x0") == F.col("_x1")) & (F.col("_y0") == F.col("_y1"))
-        bounds = M.tile_box(F.col("z"), F.col("x"), F.col("y"))
-        spread = spread.where(single | G.intersects_box(F.col(geom), bounds))
-    return spread.drop("_x0", "_x1", "_y0", "_y1")
+    zooms = kept_zooms(min_zoom, max_zoom, max_zoom if base_zoom is None else base_zoom, drop_rate, draw)
+    shape = F.col(geom) if geom is not None and geom in df.columns else None
+
+    def ancestors(cells: Column) -> Column:
+        def at(z: Column) -> Column:
+            up = F.lit(max_zoom) - z
+            moved = F.transform(cells, lambda c: F.struct(F.call_function("shiftright", c["x"], up).alias("x"), F.call_function("shiftright", c["y"], up).alias("y")))
+            return F.transform(F.array_distinct(moved), lambda t: F.struct(z.alias("z"), t["x"].alias("x"), t["y"].alias("y")))
+
+        return F.flatten(F.transform(F.col("_zooms"), at))
+
+    rows = spread(df.where(F.col(bbox)["xmin"].isNotNull()), df.columns).withColumn("_zooms", zooms)
+    tiles = G.let(_met_cells(F.col(bbox), shape, max_zoom), ancestors)
+    found = rows.withColumn("_tile", F.explode(tiles))
+    return found.select(*df.columns, "_tile.z", "_tile.x", "_tile.y")
 
 
 def clipped(tiles: DataFrame, buffer: float = BUFFER, geom: str = "geom") -> DataFrame:
