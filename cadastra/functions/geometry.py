@@ -408,8 +408,11 @@ def within(a: Column, b: Column, tolerance: float = 1e-9) -> Column:
     return overlap_area(a, b) >= area(a) * F.lit(1.0 - tolerance)
 
 
-def _cut_ring(ring: Column, axis: str, bound: Column, below: bool) -> Column:
-    """The part of a closed ring on one side of a line along an axis, closed again; empty if nothing is left."""
+def _cut_ring(ring: Column, axis: str, bound: Column, below: bool, weighted: bool = False) -> Column:
+    """The part of a closed ring on one side of a line along an axis, closed again; empty if nothing is left.
+
+    Points of a weighted ring are (x, y, w); those on the line get an infinite weight.
+    """
     other = "y" if axis == "x" else "x"
 
     def kept(p: Column) -> Column:
@@ -417,7 +420,8 @@ def _cut_ring(ring: Column, axis: str, bound: Column, below: bool) -> Column:
 
     def crossing(p: Column, q: Column) -> Column:
         at = p[other] + (q[other] - p[other]) * ((bound - p[axis]) / (q[axis] - p[axis]))
-        return F.struct(*[(bound if c == axis else at).alias(c) for c in ("x", "y")])
+        weight = [F.lit(float("inf")).alias("w")] if weighted else []
+        return F.struct(*[(bound if c == axis else at).alias(c) for c in ("x", "y")], *weight)
 
     def piece(p: Column, q: Column) -> Column:
         none = F.slice(ring, 1, 0)
@@ -428,13 +432,13 @@ def _cut_ring(ring: Column, axis: str, bound: Column, below: bool) -> Column:
     return let(walked, lambda v: F.concat(v, F.slice(v, 1, 1)))
 
 
-def clip_to_box(geom: Column, b: Column) -> Column:
+def clip_to_box(geom: Column, b: Column, weighted: bool = False) -> Column:
     """Part of a multipolygon inside a box. Rings are cut at the four sides in turn, so areas are exact; a concave ring
     that falls into parts stays one ring with edges along the box. Rings and polygons outside vanish.
     """
 
     def cut_at(axis: str, side: str, below: bool):
-        return lambda v: _cut_ring(v, axis, b[side], below)
+        return lambda v: _cut_ring(v, axis, b[side], below, weighted)
 
     def ring(r: Column) -> Column:
         for axis, side, below in (("x", "xmin", False), ("x", "xmax", True), ("y", "ymin", False), ("y", "ymax", True)):

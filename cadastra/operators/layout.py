@@ -84,17 +84,23 @@ def write_parquet(
     writer.parquet(path)
 
 
+def _directory_key(column: str, digits: int) -> Column:
+    return F.when(F.col(column).rlike(f"^[0-9]{{{digits}}}$"), F.col(column)).otherwise(F.lit(UNASSIGNED))
+
+
+def with_state_key(df: DataFrame) -> DataFrame:
+    """Add the state directory key; codes that are not two digits go to 'unassigned'."""
+    return df.withColumn("state", _directory_key("statefp", 2))
+
+
 def with_partition_keys(df: DataFrame) -> DataFrame:
     """Add state and county directory keys; codes that are not two and three digits go to 'unassigned'."""
-    def key(column: str, digits: int) -> Column:
-        return F.when(F.col(column).rlike(f"^[0-9]{{{digits}}}$"), F.col(column)).otherwise(F.lit(UNASSIGNED))
-
-    return df.withColumns({"state": key("statefp", 2), "county": key("countyfp", 3)})
+    return with_state_key(df).withColumn("county", _directory_key("countyfp", 3))
 
 
 def by_state(df: DataFrame, tie: tuple[str, ...], partitions: int | None = None) -> DataFrame:
     """Rows of every state in Hilbert order of that state's data, all states in one job."""
-    return _in_group_order(with_partition_keys(with_box(df)).drop("county"), ["state"], tie, partitions)
+    return _in_group_order(with_state_key(with_box(df)), ["state"], tie, partitions)
 
 
 def by_county(df: DataFrame, tie: tuple[str, ...], partitions: int | None = None) -> DataFrame:

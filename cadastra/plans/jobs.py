@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadastra import lookups
 from cadastra.functions.geometry import Box
-from cadastra.operators import filters, layout, quality, reports, tiling
+from cadastra.operators import descent, filters, layout, quality, reports, tiling
 from cadastra.operators.normalize import normalize
 from cadastra.operators.simplify import simplify
 from cadastra.plans import rebuild
@@ -111,7 +111,7 @@ def run_extract(raw: DataFrame, request: ExtractRequest, root: str, url: str | N
         elif kind == "geojson":
             geojson.write_lines(rows, path, properties or ["parcelid", "parceladdr", "ownername", "totalvalue"])
         else:
-            write_tiles(tiling.clipped(tiling.pyramid(rows, "export")), path)
+            descent.write_pyramid(rows, path, ("lrid",), **tiling.PRESETS["export"])
         written.append(path)
     if request.load and "parquet" in request.formats and url is not None:
         stored = raw.sparkSession.read.parquet(f"{root.rstrip('/')}/parquet/{request.name}")
@@ -120,30 +120,25 @@ def run_extract(raw: DataFrame, request: ExtractRequest, root: str, url: str | N
     return written
 
 
-def tile_state(raw: DataFrame, statefp: str, path: str, key: tuple[str, ...] = ("lrid",)) -> None:
+def tile_state(raw: DataFrame, statefp: str, path: str, key: tuple[str, ...] = ("lrid",), **options) -> None:
     """The thinned pyramid of one state; `key` names a feature, and its draw decides where it stays visible."""
-    write_tiles(tiling.clipped(tiling.pyramid(filters.with_box(filters.of_state(raw, statefp)), "state", key=key)), path)
-
-
-def write_tiles(tiles: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Tile rows under path/z=N, sorted by tile.
-
-    The feature's place in the sort order splits crowded tiles over tasks; readers of a tile get a few adjacent row groups.
-    """
-    layout.write_parquet(_tile_order(tiles, ["z", "x", "y"], partitions), path, partition_by=("z",))
+    rows = filters.with_box(filters.of_state(raw, statefp))
+    descent.write_pyramid(rows, path, key, **tiling.PRESETS["state"], **options)
 
 
-def _tile_order(tiles: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
-    order = [*keys, F.xxhash64(*tiles.columns)]
-    width = partitions or layout.width_of(tiles)
-    ranged = tiles.repartitionByRange(width, *order) if width else tiles.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order)
+def national_tiles(raw: DataFrame, root: str, key: tuple[str, ...] = ("lrid",), **options) -> str:
+    """The pyramids of all states under root/states in one job, and merged under root/national; returns that path."""
+    base = root.rstrip("/")
+    rows = layout.with_state_key(filters.with_box(raw))
+    descent.write_pyramid(rows, f"{base}/states", key, **tiling.PRESETS["state"], partition_by=("state", "z"), **options)
+    descent.merge_pyramids(raw.sparkSession, f"{base}/states", f"{base}/national", key)
+    return f"{base}/national"
 
 
-def tile_counties(raw: DataFrame, path: str, partitions: int | None = None) -> None:
+def tile_counties(raw: DataFrame, path: str, key: tuple[str, ...] = ("lrid",), **options) -> None:
     """County pyramids of all counties in one job; a county is the rows of its own state and county codes."""
-    tiles = tiling.clipped(tiling.pyramid(layout.with_partition_keys(filters.with_box(raw)), "county"))
-    layout.write_parquet(_tile_order(tiles, ["state", "county", "z", "x", "y"], partitions), path, partition_by=("state", "county"))
+    rows = layout.with_partition_keys(filters.with_box(raw))
+    descent.write_pyramid(rows, path, key, **tiling.PRESETS["county"], partition_by=("state", "county"), **options)
 
 
 def full_run(raw: DataFrame, statefp: str, name: str, root: str, url: str | None = None) -> list[str]:
@@ -181,6 +176,6 @@ def showcase(spark: SparkSession, source: str, properties: str, root: str) -> di
     path = f"{root.rstrip('/')}/parquet"
     layout.write_parquet(layout.hilbert_sorted(features, tie=("parcel_id",)), path)
     stored = spark.read.parquet(path)
-    write_tiles(tiling.tile_features(stored, 12, 16), f"{root.rstrip('/')}/tiles")
+    descent.write_pyramid(stored, f"{root.rstrip('/')}/tiles", ("parcel_id",), 12, 16)
     box = reports.extent(stored).first()
     return quality.bounded_query_check(stored, (box.xmin, box.ymin, box.xmax, box.ymax))

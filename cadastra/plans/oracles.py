@@ -211,10 +211,12 @@ def _share(zoom: int) -> str:
     return repr(2.5 ** -(16 - zoom))
 
 
-THINNED = _tiles(
-    "raw", "lrid", 10, 16,
-    f"{DRAW} < CASE z " + " ".join(f"WHEN {z} THEN {_share(z)}::DOUBLE" for z in range(10, 17)) + " END",
-)
+def _tile_lat(row: str) -> str:
+    return f"degrees(atan(sinh(pi() * (1 - 2 * ({row}) / pow(2, z)))))"
+
+
+THIN_KEEP = f"{DRAW} < CASE z " + " ".join(f"WHEN {z} THEN {_share(z)}::DOUBLE" for z in range(10, 17)) + " END"
+THINNED = _tiles("raw", "lrid", 10, 16, THIN_KEEP)
 TX0, TY0, TX1, TY1 = _tile_bounds(8, 68, 103)
 
 ORACLES: dict[str, str] = {
@@ -379,6 +381,27 @@ SELECT lrid, parcelid, parceladdr, coalesce(i.p, a.p) AS property_id,
   CASE WHEN i.p IS NOT NULL THEN 'id' WHEN a.p IS NOT NULL THEN 'address' END AS match_kind,
   CASE WHEN i.p IS NOT NULL THEN i.n WHEN a.p IS NOT NULL THEN a.n END AS candidates
 FROM raw LEFT JOIN by_ref i ON ref = parcelid LEFT JOIN by_addr a ON addr = lower(parceladdr)""",
+    "property_match_fuzzy": f"""
+WITH {RAW}, prop AS (
+  SELECT c_custkey AS pid, CASE WHEN c_custkey % 5 = 0 THEN 'P' || CAST(c_custkey * 2 AS VARCHAR) END AS ref, countyfp,
+    CAST(100 + c_custkey % 900 AS VARCHAR) || CASE c_custkey % 4 WHEN 1 THEN ' peechtree st ' WHEN 2 THEN ' peachtree street ' WHEN 3 THEN ' peach tree st'
+      ELSE ' peachtree st ' END || CASE WHEN c_custkey % 4 = 3 THEN '' ELSE CAST(c_custkey % 40 AS VARCHAR) END AS addr
+  FROM customer JOIN nat ON n_nationkey = c_nationkey),
+by_ref AS (SELECT ref, min(pid) AS p, count(*) AS n FROM prop WHERE ref IS NOT NULL GROUP BY ref),
+by_addr AS (SELECT addr, min(pid) AS p, count(*) AS n FROM prop GROUP BY addr),
+first AS (SELECT lrid, countyfp, parcelid, parceladdr, coalesce(i.p, a.p) AS p, CASE WHEN i.p IS NOT NULL THEN 'id' WHEN a.p IS NOT NULL THEN 'address' END AS kind,
+    CASE WHEN i.p IS NOT NULL THEN i.n WHEN a.p IS NOT NULL THEN a.n END AS n
+  FROM raw LEFT JOIN by_ref i ON ref = parcelid LEFT JOIN by_addr a ON addr = lower(parceladdr)),
+asked AS (SELECT *, {_trigrams('addr')} AS g FROM (SELECT DISTINCT countyfp, lower(parceladdr) AS addr FROM first WHERE kind IS NULL AND parceladdr IS NOT NULL)),
+known AS (SELECT *, {_trigrams('addr')} AS g FROM (SELECT countyfp, addr, min(pid) AS p, count(*) AS n FROM prop GROUP BY countyfp, addr)),
+pair AS (SELECT a.countyfp, a.addr, k.p, k.n, len(list_intersect(a.g, k.g)) AS common, len(a.g) + len(k.g) AS total
+  FROM asked a JOIN known k USING (countyfp)),
+near AS (SELECT *, CAST(common AS DOUBLE) / (total - common) AS s FROM pair WHERE common * 100 >= (total - common) * 55),
+best AS (SELECT countyfp, addr, s, min(p) AS p, CAST(sum(n) AS BIGINT) AS n FROM near GROUP BY countyfp, addr, s
+  QUALIFY row_number() OVER (PARTITION BY countyfp, addr ORDER BY s DESC) = 1)
+SELECT lrid, f.countyfp, parcelid, parceladdr, coalesce(f.p, b.p) AS property_id, coalesce(kind, CASE WHEN b.p IS NOT NULL THEN 'similar' END) AS match_kind,
+  coalesce(f.n, b.n) AS candidates, CASE WHEN kind IS NULL THEN round(s, 6) END AS similarity
+FROM first f LEFT JOIN best b ON kind IS NULL AND b.countyfp = f.countyfp AND b.addr = lower(parceladdr)""",
     "use_code_lookup": f"""
 WITH {PARCEL}, n AS (SELECT use_code, use_description, count(*) AS n_rows FROM parcel GROUP BY 1, 2),
 best AS (SELECT *, row_number() OVER (PARTITION BY use_code ORDER BY n_rows DESC, use_description) AS rk FROM n)
@@ -404,6 +427,26 @@ FROM n GROUP BY z""",
     "tile_clipped": f"""
 WITH {RAW} SELECT lrid, CAST(z AS INTEGER) AS z, round((xmax - xmin) * (ymax - ymin) * 1e6::DOUBLE, 4) AS area_e6
 FROM raw, range(12, 17) t(z)""",
+    "national_tiles": f"""
+WITH {RAW}, {_tiles('raw', 'lrid, statefp, xmin, ymin, xmax, ymax', 10, 16, THIN_KEEP)},
+part AS (SELECT z, x, y, statefp, (least(xmax, (x + 1) / pow(2, z) * 360 - 180) - greatest(xmin, x / pow(2, z) * 360 - 180))
+  * (least(ymax, {_tile_lat('y')}) - greatest(ymin, {_tile_lat('y + 1')})) AS area FROM tile)
+SELECT z, x, y, count(*) AS features, count(DISTINCT statefp) AS states, round(sum(area) * 1e6::DOUBLE, 3) AS area_e6 FROM part GROUP BY z, x, y""",
+    "tile_files": f"""
+WITH {RAW}, {ZONES}, {_tiles('zone', 'zone_id, zx0, zy0, zx1, zy1', 0, 12, box=('zx0', 'zy0', 'zx1', 'zy1'))}
+SELECT z, x, y, zone_id, round((least(zx1, (x + 1) / pow(2, z) * 360 - 180) - greatest(zx0, x / pow(2, z) * 360 - 180))
+  * (least(zy1, {_tile_lat('y')}) - greatest(zy0, {_tile_lat('y + 1')})), 7) AS area FROM tile""",
+    "tile_generalized": f"""
+WITH {LOTS}, z AS (SELECT CAST(unnest(generate_series(9, 16)) AS INTEGER) AS z),
+side AS (
+  SELECT lot_id, c, r, 'h' AS way FROM lot UNION ALL SELECT lot_id, c, r + 1, 'h' FROM lot
+  UNION ALL SELECT lot_id, c, r, 'v' FROM lot UNION ALL SELECT lot_id, c + 1, r, 'v' FROM lot),
+bend AS (SELECT *, 0.0005::DOUBLE * 0.0005 / pow(2.0, 3 + (c * 7 + r * 3 + CASE WHEN way = 'v' THEN 5 ELSE 0 END) % 16) AS weight FROM side),
+shown AS (SELECT z, lot_id, c, r, way, CAST(weight >= pow(360.0 / pow(2.0, z) / 4096, 2) AS INTEGER) AS bent FROM bend, z),
+rim AS (SELECT z, c, r, way, any_value(bent) AS bent FROM shown GROUP BY z, c, r, way HAVING count(*) = 1),
+outer_sides AS (SELECT z, CAST(sum(1 + bent) AS BIGINT) AS rim_sides FROM rim GROUP BY z)
+SELECT z, count(DISTINCT lot_id) AS lots, CAST(count(*) + sum(bent) AS BIGINT) AS vertices, any_value(rim_sides) AS rim_sides
+FROM shown JOIN outer_sides USING (z) GROUP BY z""",
     "tile_largest": f"""
 WITH {RAW}, {_tiles('raw', 'lrid, assdacres', 7, 9)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY z, x, y ORDER BY assdacres DESC, lrid) AS rk FROM tile)

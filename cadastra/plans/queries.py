@@ -12,7 +12,7 @@ from cadastra.functions import display as D
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.functions.hilbert import hilbert_of_box
-from cadastra.operators import dissolve, enrich, filters, layout, normalize, publish, quality, reports, sampling, search, simplify
+from cadastra.operators import descent, dissolve, enrich, filters, generalize, layout, normalize, publish, quality, reports, sampling, search, simplify
 from cadastra.operators import spatial_join as J
 from cadastra.operators import tiling
 from cadastra.plans import jobs, rebuild
@@ -304,6 +304,12 @@ def property_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.match_properties(raw, S.properties(spark, sf_dir), ["lrid"], "parcelid", "parceladdr")
 
 
+def property_match_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.parcel_raw(spark, sf_dir).select("lrid", "countyfp", "parcelid", "parceladdr")
+    found = enrich.match_properties_fuzzy(raw, S.misspelt_properties(spark, sf_dir), ["lrid"], "parcelid", "parceladdr", 55, ("countyfp",))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 def use_code_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.land_use_codes(_parcels(spark, sf_dir))
 
@@ -347,6 +353,37 @@ def tile_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("lrid", "z").agg(F.round(F.sum("part"), 4).alias("area_e6"))
 
 
+def national_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pyramids of all states, merged: features and their area in each tile of all zooms."""
+    raw = S.raw_multi(spark, sf_dir).select("lrid", "statefp", "bbox", "geom")
+    tiles = descent.read_tiles(spark, jobs.national_tiles(raw, shared_folder(spark), ("lrid",), draw=_draw("lrid"), buffer=0.0))
+    return tiles.groupBy("z", "x", "y").agg(
+        F.count("*").alias("features"), F.countDistinct("state").alias("states"), F.round(F.sum(G.area(F.col("geom")) * 1e6), 3).alias("area_e6")
+    )
+
+
+def tile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written pyramid of zones at all zooms of boundaries, read back: the area of each zone in each tile."""
+    path = f"{shared_folder(spark)}/boundaries"
+    zones = S.zones(spark, sf_dir).select("zone_id", F.col("zone_geom").alias("geom"), F.col("zone_box").alias("bbox"))
+    descent.write_pyramid(zones, path, ("zone_id",), **tiling.PRESETS["boundary"], buffer=0.0)
+    tiles = descent.read_tiles(spark, path)
+    return tiles.select("z", "x", "y", "zone_id", F.round(G.area(F.col("geom")), 7).alias("area"))
+
+
+def tile_generalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lots with a bend in the middle of each side, by zoom: vertices, and sides that no second lot shares.
+
+    A bend stays where its triangle can be seen; both lots beside a side decide alike, so no inner side is left open.
+    """
+    weighted = generalize.with_weights(S.bent_lots(spark, sf_dir), ["lot_id"])
+    zooms = weighted.select("lot_id", F.explode(F.sequence(F.lit(9), F.lit(16))).alias("z"), "geom")
+    shown = zooms.select("lot_id", "z", generalize.at_zoom(F.col("geom"), F.col("z")).alias("geom"))
+    vertices = shown.groupBy("z").agg(F.count("*").alias("lots"), F.sum(G.vertex_count(F.col("geom")) - 1).alias("vertices"))
+    rim = J.dissolved_boundary(shown, "z").groupBy("z").agg(F.count("*").alias("rim_sides"))
+    return vertices.join(rim, "z")
+
+
 def tile_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.raw_multi(spark, sf_dir).select("lrid", "bbox", "geom", "assdacres")
     tiles = tiling.tile_features(raw, 7, 9)
@@ -683,8 +720,8 @@ QUERIES: dict[str, Query] = {
         bbox_search, bbox_filter_query, polygon_filter, parcel_detail, search_address, search_owner,
         cross_border_filter, all_states_extract, box_extract, county_selection, high_value_metro, large_parcels,
         sale_range, edge_profile, encoding_profile, hilbert_order, union_by_name, pip_enrich, overlap_share,
-        zone_members, adjacent_parcels, footprint_containment, dissolved_boundary, dissolved_polygons, raster_sample, property_match,
-        use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_clipped, tile_largest,
+        zone_members, adjacent_parcels, footprint_containment, dissolved_boundary, dissolved_polygons, raster_sample, property_match, property_match_fuzzy,
+        use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_clipped, national_tiles, tile_files, tile_generalized, tile_largest,
         large_parcel_tiles, boundary_tiles, tile_layers, tile_request, centroid_request, packed_tiles, cell_summary,
         cell_partitions, value_classes, value_colors, popup_fields, geometry_measures, vertex_profile, reprojected,
         simplified, wkb_roundtrip, geojson_features, layout_roundtrip, incremental_counties, recovered_states, county_order, incremental_rebuild, partition_manifest,

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.operators import filters, layout, publish, tiling
+from cadastra.operators import descent, filters, layout, publish, tiling
 from cadastra.operators.layout import path_exists
 
 Key = tuple[str, str]
@@ -80,10 +80,8 @@ def _write_tiles(spark: SparkSession, counties: str, path: str, key: tuple[str,
     found: dict[Key, int] = {}
     if stale:
         rows = publish.read_published(spark, counties, _among(list(stale)))
-        tiles = tiling.clipped(tiling.pyramid(rows, "county")).withColumn(publish.RUN, F.lit(run))
-        order = [*publish.KEYS, "z", "x", "y", F.xxhash64(*key)]
-        ranged = tiles.repartitionByRange(*order).sortWithinPartitions(*order)
-        layout.write_parquet(ranged, path, **layout.COUNTY_LAYOUT, partition_by=(*publish.KEYS, publish.RUN), mode="append")
+        parts = (*publish.KEYS, publish.RUN)
+        descent.write_pyramid(rows.withColumn(publish.RUN, F.lit(run)), path, key, **tiling.PRESETS["county"], partition_by=parts, files=layout.COUNTY_LAYOUT)
         stored = spark.read.option("basePath", path).schema("state string, county string, run string").parquet(f"{path}/state=*/county=*/run={run}")
         found = {(r.state, r.county): r.n for r in stored.groupBy(*publish.KEYS).agg(F.count("*").alias("n")).collect()}
         if set(found) != set(stale):

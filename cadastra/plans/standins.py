@@ -6,7 +6,7 @@ Every row of the source tables takes part, so the work of a query grows with the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,6 +141,28 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxed.withColumn("geom", F.array(G.box_polygon(F.col("bbox"))))
 
 
+def bent_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lots with a vertex in the middle of each side, off the line by LOT / 2 ** k, k from 2 to 17 by the place of the side."""
+    col, row, side = F.col("lot_col"), F.col("lot_row"), F.lit(LOT)
+    ox, oy = (F.lit(v) for v in LOT_ORIGIN)
+
+    def corner(c: Column, r: Column) -> Column:
+        return F.struct((ox + c * side).alias("x"), (oy + r * side).alias("y"))
+
+    def bend(c: Column, r: Column, upright: bool) -> Column:
+        k = 2 + (c * 7 + r * 3 + (5 if upright else 0)) % 16
+        off = side / F.pow(F.lit(2.0), k)
+        if upright:
+            return F.struct((ox + c * side + off).alias("x"), (oy + (r + 0.5) * side).alias("y"))
+        return F.struct((ox + (c + 0.5) * side).alias("x"), (oy + r * side + off).alias("y"))
+
+    ring = F.array(
+        corner(col, row), bend(col, row, False), corner(col + 1, row), bend(col + 1, row, True), corner(col + 1, row + 1),
+        bend(col, row + 1, False), corner(col, row + 1), bend(col, row, True), corner(col, row),
+    )
+    return lots(spark, sf_dir).select("lot_id", "lot_col", "lot_row", F.array(F.array(ring)).alias("geom"))
+
+
 def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Building footprints, one per part, some of them across the edge of their lot."""
     b, side = F.col("bbox"), F.lit(LOT)
@@ -175,6 +197,20 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelt_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Property records with their county; three of four addresses are misspelt, longer or without the last number."""
+    c = F.col("c_custkey")
+    house, unit = (100 + c % 900).cast("string"), (c % 40).cast("string")
+    spelt = (
+        F.when(c % 4 == 1, F.concat(house, F.lit(" PEECHTREE St "), unit))
+        .when(c % 4 == 2, F.concat(house, F.lit(" Peachtree Street, "), unit))
+        .when(c % 4 == 3, F.concat(house, F.lit(" Peach Tree St")))
+        .otherwise(F.concat(house, F.lit(" peachtree st #"), unit))
+    )
+    placed = table(spark, sf_dir, "customer").join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    return placed.select(c.alias("property_id"), F.when(c % 5 == 0, F.concat(F.lit("P"), (c * 2).cast("string"))).alias("parcel_ref"), spelt.alias("address"), "countyfp")
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boundary edges, one per event."""
     return table(spark, sf_dir, "events").select(
