@@ -424,11 +424,10 @@ def _cut_ring(ring: Column, axis: str, bound: Column, below: bool, weighted: boo
         return F.struct(*[(bound if c == axis else at).alias(c) for c in ("x", "y")], *weight)
 
     def piece(p: Column, q: Column) -> Column:
-        none = F.slice(ring, 1, 0)
-        return F.concat(F.when(kept(p), F.array(p)).otherwise(none), F.when(kept(p) != kept(q), F.array(crossing(p, q))).otherwise(none))
+        return F.array(F.when(kept(p), p), F.when(kept(p) != kept(q), crossing(p, q)))
 
     steps = F.greatest(F.size(ring) - 1, F.lit(0))
-    walked = F.flatten(F.zip_with(F.slice(ring, 1, steps), F.slice(ring, 2, steps), piece))
+    walked = F.array_compact(F.flatten(F.zip_with(F.slice(ring, 1, steps), F.slice(ring, 2, steps), piece)))
     return let(walked, lambda v: F.concat(v, F.slice(v, 1, 1)))
 
 

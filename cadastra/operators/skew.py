@@ -93,3 +93,28 @@ def salted(
     if how in ("left", "left_anti"):
         return joined.unionByName(left.where(~keyed), allowMissingColumns=True)
     return joined
+
+
+def grid_joined(left: DataFrame, right: DataFrame, on: list[str], left_by: list[str], right_by: list[str], rows_per_split: int) -> DataFrame:
+    """Inner join in which a key may be hot on both sides.
+
+    A hot key gets a grid: its left rows are dealt to the lines by a hash of `left_by` and repeated for all columns, its
+    right rows to the columns by a hash of `right_by` and repeated for all lines. So every pair of rows meets in one task, and no
+    task gets more than about `rows_per_split` rows of a side. Keys with fewer rows have one task and no copies.
+    """
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*on).agg(F.count("*").alias(name)).where(F.col(name) > rows_per_split)
+
+    def parts(name: str, other: str) -> Column:
+        return F.coalesce(F.ceil(F.col(name) / rows_per_split), F.lit(1)).cast("int").alias(other)
+
+    hot = counted(left, "_nl").join(counted(right, "_nr"), on, "full").select(*on, parts("_nl", "_lines"), parts("_nr", "_columns"))
+
+    def dealt(df: DataFrame, by: list[str], own: str, across: str, own_salt: str, across_salt: str) -> DataFrame:
+        known = df.join(hot, on, "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_lines", "_columns")})
+        placed = known.withColumn(own_salt, F.pmod(F.xxhash64(*by), F.col(own)).cast("int"))
+        return placed.withColumn(across_salt, F.explode(F.sequence(F.lit(0), F.col(across) - 1))).drop("_lines", "_columns")
+
+    a = dealt(left, left_by, "_lines", "_columns", "_line", "_column")
+    b = dealt(right, right_by, "_columns", "_lines", "_column", "_line")
+    return a.join(b, [*on, "_line", "_column"]).drop("_line", "_column")

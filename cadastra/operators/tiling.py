@@ -9,7 +9,7 @@ from pyspark.sql import window as W
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.operators.filters import boxes_overlap
-from cadastra.operators.layout import width_of
+from cadastra.operators.layout import spread
 from cadastra.schemas import TILE_PROPERTIES
 
 # Zoom ranges of the pyramids and, where features are thinned, their drop rate.
@@ -51,15 +51,6 @@ def kept_zooms(min_zoom: int, max_zoom: int, base_zoom: int, drop_rate: float |
     return F.array_compact(F.array(*kept))
 
 
-def spread(df: DataFrame, by: list[str]) -> DataFrame:
-    """Rows dealt over tasks by a hash of some columns, before work that multiplies them; dense files are evened out.
-
-    The width is that of the session, or one task for each `TASK_BYTES` of input where that is more.
-    """
-    width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), width_of(df) or 0)
-    return df.repartition(width, F.xxhash64(*by))
-
-
 def _met_cells(b: Column, geom: Column | None, zoom: int) -> Column:
     """Tiles (x, y) of one zoom that a feature meets, as an array.
 

@@ -320,6 +320,9 @@ UNION ALL BY NAME SELECT lrid, statefp, yearbuilt, totalvalue FROM raw WHERE sta
     "pip_enrich": f"""
 WITH {RAW}, {ZONES} SELECT lrid, zone_id FROM raw JOIN zone
 ON centroidx >= zx0 AND centroidx < zx1 AND centroidy >= zy0 AND centroidy < zy1""",
+    "sheared_pip": f"""
+WITH {RAW}, {ZONES}, spot AS (SELECT lrid, centroidx + 0.0000137 AS px, centroidy + 0.0000191 AS py FROM raw)
+SELECT lrid, zone_id FROM spot JOIN zone ON px >= zx0 AND px < zx1 AND py >= zy0 AND py < zy1""",
     "overlap_share": f"""
 WITH {RAW}, {ZONES}, o AS (
   SELECT lrid, zone_id, (least(xmax, zx1) - greatest(xmin, zx0)) * (least(ymax, zy1) - greatest(ymin, zy0)) AS a,
@@ -585,3 +588,6 @@ WITH {PARCEL}, {COUNTIES} SELECT geoid, count(*) AS n FROM parcel WHERE geoid NO
     "page_after_key": f"WITH {RAW} SELECT lrid, geoid FROM raw WHERE lrid > 1000 ORDER BY lrid LIMIT 200",
     "number_matched": f"WITH {PARCEL} SELECT count(*) AS number_matched FROM parcel",
 }
+
+# Slanted shapes are linear images of the others: the same rows.
+ORACLES |= {"sheared_overlap": ORACLES["overlap_share"], "sheared_adjacency": ORACLES["adjacent_parcels"]}

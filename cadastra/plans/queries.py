@@ -250,6 +250,25 @@ def overlap_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("lrid", "zone_id", F.round("overlap_share", 5).alias("share"))
 
 
+def sheared_pip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = S.sheared(F.col("centroidx") + 0.0000137, F.col("centroidy") + 0.0000191)  # no point on a side
+    points = S.parcel_raw(spark, sf_dir).select("lrid", x.alias("px"), y.alias("py"))
+    zones = S.sheared_shapes(S.zones(spark, sf_dir), "zone_geom", "zone_box")
+    return J.points_in_polygons(points, zones, "px", "py", ["lrid"], "zone_geom", "zone_box").select("lrid", "zone_id")
+
+
+def sheared_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.sheared_shapes(S.raw_multi(spark, sf_dir).select("lrid", "geom", "bbox"))
+    zones = S.sheared_shapes(S.zones(spark, sf_dir), "zone_geom", "zone_box")
+    pairs = J.overlap_shares(raw, zones, "geom", "zone_geom", "bbox", "zone_box", ["lrid"])
+    return pairs.select("lrid", "zone_id", F.round("overlap_share", 5).alias("share"))
+
+
+def sheared_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lots = S.sheared_shapes(S.lots(spark, sf_dir))
+    return J.touching(lots, lots.where(F.col("p_brand") == TARGET_BRAND)).select("lot_id", "p_brand")
+
+
 def zone_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.raw_multi(spark, sf_dir).select("lrid", "statefp", "geom", "bbox")
     zones = S.zones(spark, sf_dir)
@@ -719,7 +738,7 @@ QUERIES: dict[str, Query] = {
         county_counts, county_value_top10, state_value_totals, county_medians, county_extents, table_extent, bbox_count,
         bbox_search, bbox_filter_query, polygon_filter, parcel_detail, search_address, search_owner,
         cross_border_filter, all_states_extract, box_extract, county_selection, high_value_metro, large_parcels,
-        sale_range, edge_profile, encoding_profile, hilbert_order, union_by_name, pip_enrich, overlap_share,
+        sale_range, edge_profile, encoding_profile, hilbert_order, union_by_name, pip_enrich, sheared_pip, sheared_overlap, sheared_adjacency, overlap_share,
         zone_members, adjacent_parcels, footprint_containment, dissolved_boundary, dissolved_polygons, raster_sample, property_match, property_match_fuzzy,
         use_code_lookup, land_use_summary, tile_assign, tile_counts, tile_thinned, tile_stats, tile_clipped, national_tiles, tile_files, tile_generalized, tile_largest,
         large_parcel_tiles, boundary_tiles, tile_layers, tile_request, centroid_request, packed_tiles, cell_summary,

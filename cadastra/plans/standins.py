@@ -197,6 +197,21 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sheared(x: Column, y: Column) -> tuple[Column, Column]:
+    """A linear map: shapes become slanted, while what touches, holds or overlaps, and by which share, stays as it is."""
+    return x + (y - 30.0) * 0.25, y + (x + 90.0) * 0.125
+
+
+def sheared_shapes(df: DataFrame, geom: str = "geom", bbox: str = "bbox") -> DataFrame:
+    """The table with slanted shapes and their boxes."""
+
+    def move(p: Column) -> Column:
+        x, y = sheared(p["x"], p["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return df.withColumn(geom, G.map_points(F.col(geom), move)).withColumn(bbox, G.bbox_of(F.col(geom)))
+
+
 def misspelt_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Property records with their county; three of four addresses are misspelt, longer or without the last number."""
     c = F.col("c_custkey")
