@@ -31,6 +31,7 @@ DETAIL = {
     "labels": (17, 23),
 }
 
+FEW_CELLS = 64  # tiles of the largest zoom up to which a feature's tiles are one array
 _BUCKETS = 1_000_000_000
 BUFFER = 1 / 64  # of a tile's size, on each side
 
@@ -89,7 +90,8 @@ def tile_features(
     """One row per feature, zoom and tile, with z, x, y added.
 
     The tiles of a feature are found once, at the largest zoom; a tile further up is met when one of its children is. So
-    nothing is tested again there, and a feature is repeated only for the tiles of the zooms that it is kept at.
+    nothing is tested again there, and a feature is repeated only for the tiles of the zooms that it is kept at. Features
+    over more than `FEW_CELLS` tiles at the largest zoom are spread over the tiles of each zoom, row by row.
     """
     zooms = kept_zooms(min_zoom, max_zoom, max_zoom if base_zoom is None else base_zoom, drop_rate, draw)
     shape = F.col(geom) if geom is not None and geom in df.columns else None
@@ -104,8 +106,20 @@ def tile_features(
 
     rows = spread(df.where(F.col(bbox)["xmin"].isNotNull()), df.columns).withColumn("_zooms", zooms)
     tiles = G.let(_met_cells(F.col(bbox), shape, max_zoom), ancestors)
-    found = rows.withColumn("_tile", F.explode(tiles))
-    return found.select(*df.columns, "_tile.z", "_tile.x", "_tile.y")
+    b = F.col(bbox)
+
+    def covered(z: Column) -> dict[str, Column]:
+        return {"_x0": M.tile_x(b["xmin"], z), "_x1": M.tile_x(b["xmax"], z), "_y0": M.tile_y(b["ymax"], z), "_y1": M.tile_y(b["ymin"], z)}
+
+    c = covered(F.lit(max_zoom))
+    cells = (c["_x1"] - c["_x0"] + 1).cast("long") * (c["_y1"] - c["_y0"] + 1)
+    found = rows.where(cells <= FEW_CELLS).withColumn("_tile", F.explode(tiles)).select(*df.columns, "_tile.z", "_tile.x", "_tile.y")
+    large = rows.where(cells > FEW_CELLS).withColumn("z", F.explode("_zooms")).withColumns(covered(F.col("z")))
+    large = large.withColumn("x", F.explode(F.sequence("_x0", "_x1"))).withColumn("y", F.explode(F.sequence("_y0", "_y1")))
+    if shape is not None:
+        single = (F.col("_x0") == F.col("_x1")) & (F.col("_y0") == F.col("_y1"))
+        large = large.where(single | G.intersects_box(shape, M.tile_box(F.col("z"), F.col("x"), F.col("y"))))
+    return found.unionAll(large.select(*df.columns, "z", "x", "y"))
 
 
 def clipped(tiles: DataFrame, buffer: float = BUFFER, geom: str = "geom") -> DataFrame:

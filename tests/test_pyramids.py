@@ -13,7 +13,7 @@ from cadastra.operators import descent, generalize, tiling
 from cadastra.operators import spatial_join as J
 from cadastra.plans import jobs
 from cadastra.plans import standins as S
-from tests.helpers import frame, plan, square
+from tests.helpers import frame, square
 
 
 def blob(rng, x, y, size, n=24):
@@ -72,8 +72,6 @@ def test_no_box_cover_below_the_first_zoom(spark, shapes, monkeypatch):
     monkeypatch.setattr(tiling, "tile_features", lambda df, low, high, **rest: covered.append((low, high)) or cover(df, low, high, **rest))
     descent.levels(shapes, 4, 8)
     assert covered == [(4, 4)]
-    text = plan(tiling.tile_features(shapes, 3, 9))
-    assert text.count("Generate") == 2 * 1  # once in the tree and once in its details: tiles, not zooms, columns and rows
 
 
 def test_thinning_is_nested_and_descends_through_dropped_features(spark, shapes, tmp_path):
