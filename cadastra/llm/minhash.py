@@ -2,8 +2,8 @@
 
 Texts with the same set of shingles form a class, and only one row of a class goes on. A bucket gives one candidate
 pair for each member (with a centre), not all pairs. Pairs are confirmed on full sets. Where a bucket still holds
-several components, later rounds choose other centres; where it does so after the last round, all its pairs of
-different components are decided, block by block.
+several components, later rounds choose other centres; where it does so after the last round, a prefix-filtered join
+on the members' rarest shingles decides what is left.
 """
 
 from __future__ import annotations
@@ -137,90 +137,65 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(near("set_a", "set_b")).select("a", "b")
 
 
-#: Members and shingles of one block of a bucket, about; two blocks are compared in memory.
-BLOCK_MEMBERS = 512
-BLOCK_SHINGLES = 500_000
-
-
-def _shared(sets: list[np.ndarray], few: int = 8) -> np.ndarray:
-    """How many values each two of some sets share."""
-    n = len(sets)
-    out = np.zeros((n, n), np.int64)
-    if n <= few:
-        for x in range(n):
-            for y in range(x + 1, n):
-                out[x, y] = out[y, x] = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-        return out
-    owner = np.repeat(np.arange(n), [len(x) for x in sets])
-    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    often = count[at] > 1
-    owner, at = owner[often], (np.cumsum(count > 1) - 1)[at[often]]
-    order = np.argsort(at, kind="stable")
-    owner, at = owner[order], at[order]
-    total = np.zeros((n, n), np.float32)  # exact below 2**24
-    for low in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
-        a, b = np.searchsorted(at, (low, low + 4096))
-        grid = np.zeros((n, 4096), np.float32)
-        grid[owner[a:b], at[a:b] - low] = 1
-        total += grid @ grid.T
-    return total.astype(np.int64)
-
-
-def _forest(ids: list[int], component: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Near pairs of members of different components, as few as join the same members."""
-    size = np.array([len(x) for x in sets])
-    both = _shared(sets)
-    own = np.array(component)
-    near = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (own[:, None] != own[None, :])
-    root = {c: c for c in component}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for x, y in zip(*np.nonzero(np.triu(near)), strict=True):
-        p, q = find(component[x]), find(component[y])
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+def _prefixes(held: DataFrame, percent: int) -> DataFrame:
+    """doc_id, component, size, token, at: the rarest shingles of each set, as many as near sets cannot miss each other in.
+
+    `held`: doc_id, component, members. Shingles are ordered by the number of sets that hold them, then by value; `at`
+    is the place in that order. Two sets that are near share one of their first size - ceil(percent * size) + 1. What
+    only one set holds comes first and meets nothing, so it is counted, not listed.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "members"):
+            data, offsets = buffers(batch.column("members"))
+            size = np.diff(offsets) // 8
+            columns = [np.repeat(batch.column("doc_id").to_numpy(), size), np.frombuffer(data.tobytes(), np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["doc_id", "token"])
+
+    tokens = written(held.mapInArrow(explode, "doc_id long, token long"))
+    often = written(tokens.groupBy("token").agg(F.count("*").alias("_n")).where("_n > 1"))
+    shared = spread_join(tokens, often, ["token"], ["doc_id"], hot_keys(tokens, ["token"], counts=often))
+    lists = shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("_n", "token"))).alias("list"))
+    sized = held.select("doc_id", "component", (F.octet_length("members") / 8).cast("long").alias("size")).join(lists, "doc_id")
+    alone = F.col("size") - F.size("list")
+    first = F.col("size") - F.ceil(F.col("size") * percent / F.lit(100)) + 1
+    sized = sized.withColumn("alone", alone).withColumn("list", F.slice("list", 1, F.greatest(first - alone, F.lit(0)).cast("int")))
+    rows = sized.select("doc_id", "component", "size", "alone", F.posexplode("list").alias("k", "x"))
+    out = written(rows.select("doc_id", "component", "size", "x.token", (F.col("alone") + F.col("k")).alias("at")))
+    forget(tokens, often)
     return out
 
 
-def _rest(now: DataFrame, sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """Near pairs (a, b) that join different components of a bucket, from all its pairs but those of its largest one.
+def _rest(now: DataFrame, tried: DataFrame | None, sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Near pairs (a, b) of different components, of all members of buckets that still hold several components.
 
-    `now`: doc_id, n_shingles, key, component. Members are dealt to blocks, those of the largest component to blocks
-    of their own; every two blocks, but for two of the largest component, are compared by one task on the full sets.
-    A member comes as often as its bucket has blocks. Buckets with the same members are compared once.
+    A set-similarity join: two sets meet only at a shingle of both their prefixes, where their sizes and what is left
+    behind that shingle still allow `percent`. A shingle whose holders are one component, and a set that the smallest
+    holder already rules out, are left out before the join; so the members of a template that are not near each other
+    are not paired. Shingles that many prefixes hold are split. `now`: doc_id, n_shingles, key, component.
     """
-    parts = now.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("h1"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(20,0)")).alias("h2"))
-    units = parts.groupBy("key").agg(
-        F.max(F.struct("n", "component", "size")).alias("m"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("several"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2")
-    ).where("several > 1 and n > 2")  # of two members the first round tried the pair
-    units = units.groupBy("n", "size", "h1", "h2").agg(F.min(F.struct("key", "m")).alias("u")).select("u.*", "n", "size")
-
-    def blocks(n: Column, size: Column) -> Column:
-        return F.greatest(F.ceil(n / F.lit(BLOCK_MEMBERS)), F.ceil(size / F.lit(BLOCK_SHINGLES))).cast("int")
-
-    units = written(units.select("key", F.col("m.component").alias("main"), blocks(F.col("n") - F.col("m.n"), F.col("size") - F.col("m.size")).alias("rest"), blocks(F.col("m.n"), F.col("m.size")).alias("mains")))
-    rows = spread_join(now.select("key", "doc_id", "component"), units, ["key"], ["doc_id"], hot)
-    block = F.when(F.col("component") == F.col("main"), F.col("rest") + F.pmod(F.xxhash64("doc_id"), "mains")).otherwise(F.pmod(F.xxhash64("doc_id"), "rest"))
-    rows = rows.withColumn("block", block.cast("int"))
-    others = F.sequence(F.lit(0), F.when(F.col("block") < F.col("rest"), F.col("rest") + F.col("mains")).otherwise(F.col("rest")) - 1)
-    rows = rows.withColumn("other", F.explode(others))
-    rows = written(rows.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "doc_id", "component"))
-    whole = spread_join(rows, sets, ["doc_id"], ["key", "x", "y"], hot_keys(rows, ["doc_id"]))
-
-    def compare(group: pa.Table) -> pa.Table:
-        members = [np.frombuffer(m.as_buffer(), np.uint64) for m in group.column("members")]
-        pairs = _forest(group.column("doc_id").to_pylist(), group.column("component").to_pylist(), members, percent)
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
-
-    found = written(whole.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long").distinct())
-    forget(rows, units)
+    keys = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+    keys = keys.where("lo <> hi and n > 2").select("key")  # of two members the first round tried the pair
+    left = spread_join(now, keys, ["key"], ["doc_id"], hot).select("doc_id", "component").distinct()
+    held = written(left.join(sets, "doc_id"))
+    rows = _prefixes(held, percent)
+
+    def possible(behind: Column, size: Column, other: Column) -> Column:
+        return behind * (100 + percent) >= (size + other) * percent
+
+    stats = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("size").alias("least"))
+    stats = written(stats.where("lo <> hi").select("token", "least"))
+    many = written(hot_keys(rows, ["token"]))
+    kept = spread_join(rows, stats, ["token"], ["doc_id"], many).where(possible(F.col("size") - F.col("at"), F.col("size"), F.col("least"))).drop("least")
+    kept = written(kept)
+    x, y = (kept.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "component", "size", "at"))) for side in "xy")
+    met = spread_join(x, y, ["token"], ["doc_id_x"], written(hot_keys(kept, ["token"])))
+    behind = F.least(F.col("size_x") - F.col("at_x"), F.col("size_y") - F.col("at_y"))
+    met = met.where((F.col("doc_id_x") < F.col("doc_id_y")) & (F.col("component_x") != F.col("component_y")) & possible(behind, F.col("size_x"), F.col("size_y")))
+    pairs = met.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
+    pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+    found = written(_confirmed(pairs, sets, percent))
+    forget(held, rows, stats, many, kept, pairs)
     return found
 
 
@@ -265,7 +240,7 @@ def links(docs: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
         tried = pairs if tried is None else tried.unionAll(pairs)
         found = edges if found is None else found.unionAll(edges)
         labels = written(components(found))
-    last = _rest(written(labelled()), sets, hot, near.percent)
+    last = _rest(written(labelled()), tried, sets, hot, near.percent)
     forget(sets)
     return last if found is None else found.unionAll(last)
 

@@ -256,6 +256,34 @@ def test_minhash_groups_of_copies_edited_from_one_text(spark, make_docs, monkeyp
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.groups(make_docs(rows), what).collect()} == want
 
 
+def test_minhash_end_alone_finds_all_links(spark, make_docs):
+    rng = np.random.default_rng(12)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}w{k}" for k in range(80 + 20 * family)]
+        for j in range(40):  # chains: each text is near the last one and drifts away from the first
+            at = int(rng.integers(0, len(base) - 1))
+            base = [*base[:at], f"f{family}n{j}", *base[at + int(rng.integers(0, 2)) :]]
+            rows.append((int(rng.integers(0, 1 << 40)), " ".join(base)))
+    what = minhash.Near(size=3, percent=85, rounds=1)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.groups(make_docs(rows), what).collect()} == brute_groups(rows, 3, 85)
+
+
+def test_minhash_pairs_of_a_template_grow_with_its_members(spark, make_docs, monkeypatch):
+    met = []
+    confirmed = minhash._confirmed
+    monkeypatch.setattr(minhash, "_confirmed", lambda pairs, *rest: met.append(pairs.count()) or confirmed(pairs, *rest))
+    rng = np.random.default_rng(13)
+    for members in (100, 200):  # any two share about 70 % of their shingles
+        texts = []
+        for j in range(members):
+            at = set(rng.choice(200, 10, replace=False).tolist())
+            texts.append((j, " ".join(f"e{j}x{k}" if k in at else f"t{k}" for k in range(200))))
+        got = minhash.groups(make_docs(texts), minhash.Near(size=3, percent=85, rounds=1)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_groups(texts, 3, 85)
+    assert met[3] <= 3 * max(met[1], 50)  # the end step: all pairs would be four times as many
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     shared, a, b = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (800, 100, 100))
