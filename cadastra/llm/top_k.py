@@ -18,23 +18,24 @@ from cadastra.llm.common import written
 QUERY_BLOCK = 4_096
 BINS = 1_024
 _SAFE = float(1 << 53)
+_LARGEST = (1 << 63) - 1
 
 
 def integer_vectors(table: DataFrame, vector: str = "embedding", scale: int = 1024) -> DataFrame:
     """vec_id and `units`: floor(scale * x) of each component, in double precision, as packed 64-bit integers.
 
     Vectors that are null or hold null or non-finite components are left out, as are null ids. Vectors of another
-    length than most are kept: they meet only vectors of their own length. Components beyond 2 ** 53 are an error.
+    length than most are kept: they meet only vectors of their own length. A component beyond 64 bits counts as the
+    64-bit number of a double that is nearest to it.
     """
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = []
             for x in batch.column("v"):
-                units = np.floor(scale * np.array(x.as_py(), np.float64))
-                if np.abs(units).max(initial=0) >= _SAFE:
-                    raise ValueError("a component is too large for integer scores")
-                packed.append(units.astype("<i8").tobytes())
+                with np.errstate(over="ignore"):
+                    units = np.floor(scale * np.array(x.as_py(), np.float64))
+                packed.append(np.clip(units, -(2.0**63 - 1024), 2.0**63 - 1024).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(packed, pa.binary())], names=["vec_id", "units"])
 
     x = F.col("v")
@@ -54,13 +55,32 @@ def _matrix(units: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of all rows of `a` and `b`; in doubles where all partial sums are exact there."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+    """Exact integer inner products of all rows of `a` and `b`; in doubles where all partial sums are exact there.
+
+    Rows with large components are taken by themselves, as Python integers where 64 bits may not do. A score beyond 64
+    bits counts as the nearest one within, up to 2 ** 63 - 1 on either side.
+    """
+    width = max(1, a.shape[1])
+    tops = [np.abs(x).max(axis=1, initial=0).astype(np.float64) for x in (a, b)]
+    most = float(tops[0].max(initial=0)) * float(tops[1].max(initial=0)) * width
     if most < _SAFE:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if most >= 2.0**63:
-        raise ValueError("scores do not fit into 64 bits")
-    return a @ b.T
+    large = [top > np.sqrt(_SAFE / width) for top in tops]
+    if any(x.any() and not x.all() for x in large):
+        out = np.empty((len(a), len(b)), np.int64)
+        for x in (large[0], ~large[0]):
+            for y in (large[1], ~large[1]):
+                if x.any() and y.any():
+                    out[np.ix_(x, y)] = _products(a[x], b[y])
+        return out
+    if most < 2.0**62:
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.astype(object).T, -_LARGEST, _LARGEST).astype(np.int64)
+
+
+def _width(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Scores in a bin when [low, high] is divided evenly. The distance of two scores takes 64 bits without a sign."""
+    return (high.view(np.uint64) - low.view(np.uint64)) // np.uint64(BINS) + np.uint64(1)
 
 
 class _Block:
@@ -91,13 +111,13 @@ def _histograms(candidates: DataFrame, block: list[tuple[int, bytes]], low: np.n
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, low, high = shared.value
         queries = _Block(rows)
-        width = np.maximum(1, -(-(high - low + 1) // BINS))
+        width = _width(low, high)
         bins = np.zeros((len(rows), BINS + 1), np.int64)  # the last bin is for scores above `high`
         for batch in batches:
             for at, ids, scores in queries.scores(batch):
-                bin_ = (scores - low[at][:, None]) // width[at][:, None]
+                bin_ = ((scores.view(np.uint64) - low[at].view(np.uint64)[:, None]) // width[at][:, None]).astype(np.int64)
                 bin_ = np.where(scores > high[at][:, None], BINS, bin_)
-                ok = (bin_ >= 0) & (queries.ids[at][:, None] != ids[None, :])
+                ok = (scores >= low[at][:, None]) & (queries.ids[at][:, None] != ids[None, :])
                 q, c = np.nonzero(ok)
                 bins += np.bincount(at[q] * (BINS + 1) + bin_[q, c], minlength=bins.size).reshape(bins.shape)
         above = np.cumsum(bins[:, ::-1], axis=1)[:, ::-1] - bins
@@ -108,8 +128,9 @@ def _histograms(candidates: DataFrame, block: list[tuple[int, bytes]], low: np.n
     above = F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("bin")))
     found = counts.withColumn("upto", above).where((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k))
     out = {}
+    widths = _width(low, high).tolist()
     for r in found.collect():  # one row for each query of the block
-        width = max(1, -(-int(high[r["q"]] - low[r["q"]] + 1) // BINS))
+        width = widths[r["q"]]
         start = int(low[r["q"]]) + r["bin"] * width
         out[r["q"]] = start, start + width - 1, r["upto"] - r["n"]
     return out
@@ -118,7 +139,7 @@ def _histograms(candidates: DataFrame, block: list[tuple[int, bytes]], low: np.n
 def _block_top_k(candidates: DataFrame, block: list[tuple[int, bytes]], reach: float, k: int) -> DataFrame:
     """query_id, rank, vec_id, score of one block of queries. `reach` bounds the norm of all candidates."""
     norms = np.array([np.sqrt((np.frombuffer(v, "<i8").astype(np.float64) ** 2).sum()) for _, v in block])
-    edge = np.ceil(norms * reach * (1 + 1e-9)).astype(np.int64) + 1
+    edge = np.array([min(int(x) + 2, _LARGEST) for x in norms * reach * (1 + 1e-9)], np.int64)
     low, high = -edge, edge.copy()
     open_ = True
     while open_:

@@ -50,6 +50,22 @@ def test_exact_top_k(spark, sf_dir):
     assert sorted(map(tuple, got.collect())) == sorted(best(vectors, [0, 100, 200], 10, units))
 
 
+def test_exact_top_k_of_very_large_components(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, [float(x) for x in rng.normal(size=4)]) for k in range(300)]
+    rows += [(1000 + k, [float(s * 10.0**e), 0.0, 0.5, -0.25]) for k, (s, e) in enumerate((s, e) for s in (1, -1) for e in range(6, 16))]
+    rows += [(2000 + k, [1e12 + k, -1e12, 1.0, float(k)]) for k in range(5)] + [(3000, [1e20, 0.0, 0.0, 0.0]), (3100, [1e308, -1e308, 0.0, 1.0])]
+    whole = {i: [max(min(int(np.floor(1024 * x)) if abs(x) < 1e17 else int(np.sign(x)) * (2**63 - 1024), 2**63 - 1024), 1024 - 2**63) for x in np.array(v)] for i, v in rows}
+
+    def score(a, b):
+        return max(min(sum(x * y for x, y in zip(a, b, strict=True)), 2**63 - 1), 1 - 2**63)
+
+    want = best(whole, [i for i in whole if i % 100 == 0], 10, score)
+    for parts in (1, 7):  # however the rows are batched
+        got = top_k.search(top_k.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)), F.col("vec_id") % 100 == 0)
+        assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == sorted(want)
+
+
 def test_neighbours(spark, sf_dir):
     given = [(r["vec_id"], r["embedding"]) for r in table(spark, sf_dir, "embeddings").collect()]
     copies = [(k, [1.0, 2.0, 3.0] if k % 3 else [float(k), 1.0, -float(k % 7)]) for k in range(1, 200)]
