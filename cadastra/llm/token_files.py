@@ -44,7 +44,7 @@ def blocks(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(vocabulary)
         wide = 2 if model.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        part, number, first = TaskContext.get().partitionId(), 0, 0
+        part, number, first, total = TaskContext.get().partitionId(), 0, 0, 0
         held: list[np.ndarray] = []
         docs_held: list[int | None] = []
         sizes: list[int] = []
@@ -61,9 +61,10 @@ def blocks(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
                 held += [ids[at[k] : at[k + 1]], np.array([end_id])]
                 docs_held.append(doc)
                 sizes.append(int(at[k + 1] - at[k]) + 1)
-                if sum(sizes[-1:]) + (total := sum(sizes[:-1])) >= BLOCK_IDS or len(sizes) >= 4096:
+                total += sizes[-1]
+                if total >= BLOCK_IDS or len(sizes) >= 4096:
                     yield block()
-                    number, first = number + 1, first + total + sizes[-1]
+                    number, first, total = number + 1, first + total, 0
                     held, docs_held, sizes = [], [], []
         if sizes:
             yield block()
@@ -103,7 +104,8 @@ def read(files: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
-                ends = _ends(row).all()
+                boundaries = _ends(row)
+                ends = np.array([boundaries.select(k) for k in range(boundaries.n)], np.int64)
                 ids = np.frombuffer(row["ids"], f"<u{row['id_bytes']}").astype("<u4")
                 sums = [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
