@@ -334,6 +334,16 @@ def test_repeated_passages(spark, sf_dir, make_docs, odd_rows):
     assert substring_dedup.repeated_passages(make_docs([])).count() == 0
 
 
+def test_passages_of_repeated_ids_with_different_texts(spark, make_docs):
+    passage = " ".join(f"p{k}" for k in range(70))
+    shared = f"{'a ' * 40}{passage} end"
+    other = "\u00e9\u4e2d" * 400  # spans of the first text would cut characters of this one
+    rows = [(1, passage), (2, shared), (2, other), (2, shared), (3, None)]
+    cut = [(r["doc_id"], r["text"]) for r in substring_dedup.without_passages(make_docs(rows)).collect()]
+    assert cut.count((2, other)) == 1 and (1, passage) in cut and (3, None) in cut and len(cut) == 5
+    assert sum(doc == 2 and "p5 " not in text and text.endswith("end") for doc, text in cut) == 2
+
+
 def test_passages_are_measured_before_they_are_split():
     what = substring_dedup.Passages()
 
