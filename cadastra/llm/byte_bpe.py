@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cadastra.llm.common import buffers, chunks, text_of
+from cadastra.llm.common import PIECE_BYTES, buffers, chunks, text_of
 
 LONG = 48
 CACHE_SLICES = 400_000
@@ -312,7 +312,7 @@ def round_trip(docs: DataFrame, ranks: str) -> DataFrame:
 def _coded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[tuple]:
     """For each chunk of texts: doc_ids, ids in a row, their offsets, decoded bytes in a row, their offsets."""
     model = codec(ranks)
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", PIECE_BYTES):
         ids, at = model.encode(*buffers(batch.column("text")))
         data = model.merger.decode(ids)
         ends = np.concatenate([[0], np.cumsum(model.merger.token_bytes[ids])])[at]

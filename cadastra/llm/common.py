@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from cadastra.session import shared_folder
 
-CHUNK_BYTES = 2_000_000
+#: Text taken at a time by a Python worker; its arrays have about 60 times that size.
+CHUNK_BYTES = 500_000
+#: The same where distinct pieces of a chunk are looked up once: larger chunks look up fewer.
+PIECE_BYTES = 2_000_000
 #: A key is hot when it has over max(HOT_ROWS, all rows / HOT_KEYS) rows, so there are at most HOT_KEYS hot keys.
 HOT_ROWS = 2_000
 HOT_KEYS = 10_000

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,7 @@ def sets_of(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return value[new], owner[new]
 
 
+@lru_cache
 def _detours(bins: int) -> np.ndarray:
     """For each bin, the order in which other bins are asked for a value when it is empty; the same for all texts."""
     tries = np.arange(bins * bins, dtype=np.uint64).reshape(bins, bins)

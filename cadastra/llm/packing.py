@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import buffers, chunks, text_of, written
+from cadastra.llm.common import PIECE_BYTES, buffers, chunks, text_of, written
 from cadastra.llm.pieces import encoder
 
 CAPACITY = 1024
@@ -36,7 +36,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPAC
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part, made = encoder(vocabulary), TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", PIECE_BYTES):
             ids, at = model.encode(*buffers(batch.column("text")))
             rows: list[tuple] = []
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import buffers, chunks, text_of
+from cadastra.llm.common import PIECE_BYTES, buffers, chunks, text_of
 from cadastra.llm.elias_fano import EliasFano
 from cadastra.llm.pieces import encoder
 
@@ -55,7 +55,7 @@ def blocks(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
             row = (part, number, first, len(ids), wide, list(docs_held), ids.tobytes(), ends.n, ends.width, ends.low, ends.high, ends.samples)
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _ARROW, strict=True)], schema=_ARROW)
 
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", PIECE_BYTES):
             ids, at = model.encode(*buffers(batch.column("text")))
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):
                 held += [ids[at[k] : at[k + 1]], np.array([end_id])]
