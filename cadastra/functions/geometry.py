@@ -431,13 +431,18 @@ def _cut_ring(ring: Column, axis: str, bound: Column, below: bool, weighted: boo
     return let(walked, lambda v: F.concat(v, F.slice(v, 1, 1)))
 
 
-def clip_to_box(geom: Column, b: Column, weighted: bool = False) -> Column:
+def clip_to_box(geom: Column, b: Column, weighted: bool = False, bbox: Column | None = None) -> Column:
     """Part of a multipolygon inside a box. Rings are cut at the four sides in turn, so areas are exact; a concave ring
     that falls into parts stays one ring with edges along the box. Rings and polygons outside vanish.
+
+    With `bbox`, the box of the geometry, rings are walked only for sides that it reaches beyond.
     """
 
     def cut_at(axis: str, side: str, below: bool):
-        return lambda v: _cut_ring(v, axis, b[side], below, weighted)
+        if bbox is None:
+            return lambda v: _cut_ring(v, axis, b[side], below, weighted)
+        within_side = bbox[side] <= b[side] if below else bbox[side] >= b[side]
+        return lambda v: F.when(within_side, v).otherwise(_cut_ring(v, axis, b[side], below, weighted))
 
     def ring(r: Column) -> Column:
         for axis, side, below in (("x", "xmin", False), ("x", "xmax", True), ("y", "ymin", False), ("y", "ymax", True)):

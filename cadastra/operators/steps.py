@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cadastra.session import shared_folder
 
@@ -22,3 +23,12 @@ def discard(*tables: DataFrame) -> None:
         for file in df.inputFiles()[:1]:
             folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with columns that are generated, so each is computed once.
+
+    A column that is only projected is computed again by a filter on it and by each column made from it.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))

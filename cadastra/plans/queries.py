@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra import lookups
+from cadastra.functions import cutting as C
 from cadastra.functions import display as D
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
@@ -368,7 +369,7 @@ def tile_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tile_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts of a feature in all its tiles of a zoom make up its area."""
-    parts = tiling.clipped(_tiles(spark, sf_dir, "county"), 0.0).withColumn("part", G.area(F.col("geom")) * 1e6)
+    parts = tiling.clipped(_tiles(spark, sf_dir, "county"), 0.0).withColumn("part", C.area_of(F.col("geom")) * 1e6)
     return parts.groupBy("lrid", "z").agg(F.round(F.sum("part"), 4).alias("area_e6"))
 
 
@@ -377,7 +378,7 @@ def national_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = S.raw_multi(spark, sf_dir).select("lrid", "statefp", "bbox", "geom")
     tiles = descent.read_tiles(spark, jobs.national_tiles(raw, shared_folder(spark), ("lrid",), draw=_draw("lrid"), buffer=0.0))
     return tiles.groupBy("z", "x", "y").agg(
-        F.count("*").alias("features"), F.countDistinct("state").alias("states"), F.round(F.sum(G.area(F.col("geom")) * 1e6), 3).alias("area_e6")
+        F.count("*").alias("features"), F.countDistinct("state").alias("states"), F.round(F.sum(C.area_of(F.col("geom")) * 1e6), 3).alias("area_e6")
     )
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cadastra.functions import cutting as C
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.operators import descent, generalize, tiling
@@ -204,3 +205,29 @@ def test_weighted_tiles(spark, sf_dir, tmp_path):
     assert totals[9][0] < totals[14][0] and one[9] >= one[14]
     area = lots.agg(F.sum(G.area(F.col("geom")))).first()[0]
     assert totals[14][1] == pytest.approx(area, rel=0.01)
+
+
+def test_pieces_are_stored_once_for_all_zooms_in_one_tile(spark):
+    # well inside one tile of zoom 8, and over a corner of tiles from zoom 1 on
+    df = frame(spark, [(1, [square(-84.05, 33.05, 0.01)]), (2, [square(-0.5, -0.5, 1.0)])], "id long")
+    stored = [{r["id"]: r["count"] for r in t.groupBy("id").count().collect()} for t in descent._pieces(df, 3, 8, 0.0, False, "geom")]
+    assert [s.get(1, 0) for s in stored] == [1, 0, 0, 0, 0, 0]
+    assert stored[0][2] == 4
+    assert all(zoom.where("id = 1").count() == 1 for zoom in descent.levels(df, 3, 8, 0.0))
+
+
+def test_cuts_of_batches_are_those_of_expressions(spark):
+    bent = [[(0, 0), (4, 0), (4, 4), (2, 1), (0, 4), (0, 0)]]  # concave
+    holed = [[(0, 0), (3, 0), (3, 3), (0, 3), (0, 0)], [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]]
+    rows = [(1, [bent]), (2, [holed, [[(x + 10, y) for x, y in r] for r in bent]]), (3, []), (4, [])]
+    df = frame(spark, rows, "id long").withColumn("geom", F.when(F.col("id") != 4, F.col("geom")))
+    for box in ((0.5, 0.5, 2.5, 3.25), (-1, -1, 20, 20), (1, 1, 2, 2), (8, 2, 12, 3), (50, 50, 51, 51)):
+        b = G.box_literal(box)
+        want = G.clip_to_box(F.col("geom"), b)
+        piece = C.cut_to_box(F.col("geom"), b["xmin"], b["ymin"], b["xmax"], b["ymax"])
+        both = df.select("id", want.alias("w"), G.bbox_of(want).alias("wb"), G.area(want).alias("wa"), piece.alias("p"), C.area_of(F.col("geom")).alias("a"), G.area(F.col("geom")).alias("ga"))
+        for r in both.collect():
+            if r.w is None:
+                assert r.p["geom"] is None and r.a is None
+                continue
+            assert r.p["geom"] == r.w and r.p["bbox"] == r.wb and r.p["area"] == r.wa and r.a == r.ga
