@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from cadastra.functions import cutting as C
 from cadastra.functions import geometry as G
 from cadastra.functions import mercator as M
 from cadastra.operators.filters import boxes_overlap
 from cadastra.operators.layout import spread
+from cadastra.operators.steps import once
 from cadastra.schemas import TILE_PROPERTIES
 
 # Zoom ranges of the pyramids and, where features are thinned, their drop rate.
@@ -122,10 +124,11 @@ def tile_features(
     return found.unionAll(large.select(*df.columns, "z", "x", "y"))
 
 
-def clipped(tiles: DataFrame, buffer: float = BUFFER, geom: str = "geom") -> DataFrame:
+def clipped(tiles: DataFrame, buffer: float = BUFFER, geom: str = "geom", bbox: str = "bbox") -> DataFrame:
     """Tile rows with each geometry cut to its tile, widened on each side by `buffer` of the tile's size.
 
-    A feature inside one tile is left as it is by the cut. Neighbouring tiles share the buffer, so seams can be drawn over.
+    A feature inside one tile is left as it is, and the others are cut at the sides that their box (`bbox`, where the rows
+    have one) reaches beyond. Neighbouring tiles share the buffer, so seams can be drawn over.
     """
     b = M.tile_box(F.col("z"), F.col("x"), F.col("y"))
 
@@ -133,8 +136,17 @@ def clipped(tiles: DataFrame, buffer: float = BUFFER, geom: str = "geom") -> Dat
         dx, dy = (v["xmax"] - v["xmin"]) * F.lit(buffer), (v["ymax"] - v["ymin"]) * F.lit(buffer)
         return G.box(v["xmin"] - dx, v["ymin"] - dy, v["xmax"] + dx, v["ymax"] + dy)
 
-    held = tiles.withColumn("_tile", G.let(b, widened))
-    return held.withColumn(geom, G.clip_to_box(F.col(geom), F.col("_tile"))).drop("_tile")
+    held = once(tiles, _tile=G.let(b, widened))
+    t = F.col("_tile")
+    if bbox not in tiles.columns:
+        return held.withColumn(geom, G.clip_to_box(F.col(geom), t)).select(*tiles.columns)
+    own = F.col(bbox)
+    inside = (own["xmin"] >= t["xmin"]) & (own["xmax"] <= t["xmax"]) & (own["ymin"] >= t["ymin"]) & (own["ymax"] <= t["ymax"])
+    if not C.cuttable(tiles.schema[geom].dataType):
+        return held.withColumn(geom, F.when(inside, F.col(geom)).otherwise(G.clip_to_box(F.col(geom), t, bbox=own))).select(*tiles.columns)
+    beyond = F.when(~F.coalesce(inside, F.lit(False)), F.col(geom))
+    cut = held.withColumn("_piece", C.cut_to_box(beyond, t["xmin"], t["ymin"], t["xmax"], t["ymax"]))
+    return cut.withColumn(geom, F.when(inside, F.col(geom)).otherwise(F.col("_piece.geom"))).select(*tiles.columns)
 
 
 def pyramid(
