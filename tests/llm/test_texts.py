@@ -334,6 +334,27 @@ def test_repeated_passages(spark, sf_dir, make_docs, odd_rows):
     assert substring_dedup.repeated_passages(make_docs([])).count() == 0
 
 
+def test_passages_that_the_first_document_has_in_part(spark, make_docs):
+    """Later documents share more around a passage than the first one that has it."""
+    whole = [f"p{k}" for k in range(140)]
+    cuts = {1: (40, 91), 2: (0, 140), 3: (5, 130), 4: (0, 140), 5: (44, 98), 6: (60, 140), 7: (20, 75), 8: (41, 92)}
+    rows = []
+    for copy in range(8):  # other words, so other minima
+        for doc, (a, b) in cuts.items():
+            own = [f"own{copy}x{doc}x{k}" for k in range(60)]
+            rows.append((100 * copy + doc, " ".join([*own[:30], *(f"{w}v{copy}" for w in whole[a:b]), *own[30:]])))
+    spans = collections.defaultdict(list)
+    for r in substring_dedup.repeated_passages(make_docs(rows)).collect():
+        spans[r["doc_id"]].append((r["start"], r["end"]))
+    first = {}
+    for doc, text in sorted(rows):
+        at = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+        w = text.split()
+        for k in range(len(w) - 49):
+            if first.setdefault(tuple(w[k : k + 50]), doc) < doc:
+                assert any(a <= at[k][0] and at[k + 49][1] <= b for a, b in spans[doc]), (doc, k)
+
+
 def test_passages_of_repeated_ids_with_different_texts(spark, make_docs):
     passage = " ".join(f"p{k}" for k in range(70))
     shared = f"{'a ' * 40}{passage} end"
