@@ -9,12 +9,14 @@ is, as it becomes one value.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
 from cadastra.operators.spatial_join import box_pairs
-from cadastra.operators.steps import discard, stored
+from cadastra.operators.steps import stored
 
 P, Q = ["x1", "y1"], ["x2", "y2"]
 
@@ -112,21 +114,25 @@ def ranked_rings(links: DataFrame) -> DataFrame:
     """id, ring (the smallest id of the cycle) and place (from 0 on, from that id) of each element of cycles id -> next.
 
     Pointer jumping: after k rounds an element knows the smallest id among the 2^k that follow it, and how far off that
-    is. It ends when every element knows the same as the one it points to, which covers its whole cycle then.
+    is. An element that knows the same as the one it points to has covered its whole cycle; it leaves, so a round takes
+    only the elements of cycles that are longer than the last step.
     """
-    state = stored(links.select("id", F.col("next").alias("jump"), F.col("id").alias("low"), F.lit(0).cast("long").alias("off")))
+    state = stored(links.select("id", F.col("next").alias("jump"), F.col("id").alias("low"), F.lit(0).cast("long").alias("off"), F.lit(True).alias("open")))
+    done: list[DataFrame] = []
     step = 1
     while True:
         other = state.select(F.col("id").alias("jump"), F.col("jump").alias("far"), F.col("low").alias("low2"), F.col("off").alias("off2"))
         better = F.col("low2") < F.col("low")
-        moved = stored(state.join(other, "jump").select(
+        # A cycle closes within two rounds; those closed in the first are still looked up in the second, then none is needed.
+        moved = stored(state.where("open").join(other, "jump").select(
             "id", F.col("far").alias("jump"), F.least("low", "low2").alias("low"), F.when(better, F.col("off2") + step).otherwise(F.col("off")).alias("off"),
             (F.col("low") != F.col("low2")).alias("open"),
         ))
-        discard(state)
-        state, step = moved.drop("open"), step * 2
+        done.append(moved.where("not open").select("id", "low", "off"))
+        state, step = moved, step * 2
         if moved.where("open").isEmpty():
             break
+    state = reduce(lambda a, b: a.unionAll(b), done)
     sizes = state.groupBy("low").agg(F.count("*").alias("n"))
     return state.join(sizes, "low").select("id", F.col("low").alias("ring"), F.pmod(F.col("n") - F.col("off"), F.col("n")).alias("place"))
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
-from cadastra.operators import dissolve
+from cadastra.operators import dissolve, steps
 from tests.helpers import frame, ring_area, square
 
 
@@ -132,3 +132,18 @@ def test_random_cells_keep_their_area(spark, seed):
     for poly in found:
         assert signed(poly[0]) > 0 and all(signed(r) < 0 for r in poly[1:])
         assert all(len(set(r[:-1])) == len(r) - 1 for r in poly)
+
+
+def test_finished_rings_leave_the_ranking(spark, monkeypatch):
+    """Many short rings and a long one: a round stores the rings that are not closed yet, not all of them."""
+    links = [(k, k + 1 if k % 4 < 3 else k - 3) for k in range(4000)] + [(5000 + k, 5000 + (k + 1) % 600) for k in range(600)]
+    written = []
+
+    def counted(df):
+        written.append(steps.stored(df))
+        return written[-1]
+
+    monkeypatch.setattr(dissolve, "stored", counted)
+    got = {r.id: (r.ring, r.place) for r in dissolve.ranked_rings(spark.createDataFrame(links, "id long, next long")).collect()}
+    assert got == {**{k: (k - k % 4, k % 4) for k in range(4000)}, **{5000 + k: (5000, k) for k in range(600)}}
+    assert sum(df.count() for df in written[4:]) <= 600 * len(written[4:])
