@@ -117,4 +117,5 @@ def grid_joined(left: DataFrame, right: DataFrame, on: list[str], left_by: list[
 
     a = dealt(left, left_by, "_lines", "_columns", "_line", "_column")
     b = dealt(right, right_by, "_columns", "_lines", "_column", "_line")
-    return a.join(b, [*on, "_line", "_column"]).drop("_line", "_column")
+    # Spark's estimate knows the size of the files, not that of the rows made from them; a large side would be broadcast.
+    return a.join(b.hint("merge"), [*on, "_line", "_column"]).drop("_line", "_column")

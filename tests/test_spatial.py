@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as G
-from cadastra.operators import filters, tiling
+from cadastra.operators import filters, skew, tiling
 from cadastra.operators import spatial_join as J
 from cadastra.operators.simplify import simplify
 from tests.helpers import frame, plan, square
@@ -149,3 +149,14 @@ def test_simplify(spark):
     assert len(got[1][1][0]) == 4 and got[1][1][0][0] == got[1][1][0][-1]
     assert [tuple(p) for p in got[2][0][0]] == [(0, 0), (1, 0), (0, 1), (0, 0)]
     assert got[3] is None
+
+
+def test_a_side_that_was_measured_large_is_not_broadcast(spark, tmp_path):
+    """Small files may hold rows that become many: Spark's estimate from their size does not count."""
+    for name in "ab":
+        spark.range(100).select(F.col("id").alias("k"), F.col("id").alias(name)).write.parquet(f"{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_path}/{name}") for name in "ab")
+    joined = skew.grid_joined(a, b, ["k"], ["a"], ["b"], 1000)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan.split("Join Inner")[1].splitlines()[0]
+    assert joined.count() == 100
