@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from cadastra.functions import geometry as G
 from cadastra.operators.filters import boxes_overlap
-from cadastra.operators.layout import spread
+from cadastra.operators.layout import spread, width_of
 from cadastra.operators.skew import BROADCAST_BYTES, ROWS_PER_SPLIT, grid_joined, row_bytes
 from cadastra.operators.steps import stored
 
@@ -29,6 +29,7 @@ SLIVER = 1e-9  # share of the smaller geometry below which a common area counts
 # Tasks get the functions of this module with the job, so workers do not need the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+SHAPE_BYTES = 2 * 1024 * 1024  # input read for a task that drops copies of shapes, which may be repeated by zoom
 FEW_SIDES = 16  # vertices up to which a geometry is not cut to the common box first
 MOST_SIDES = 64  # vertices of a part of a large polygon
 MOST_CUTS = 48  # times that a geometry is halved at most
@@ -319,8 +320,12 @@ def dissolved_boundary(df: DataFrame, *keys: str, geom: str = "geom") -> DataFra
 
     Polygons of a group share whole edges (a coverage), so an edge between two of them occurs twice and drops out; no
     group is ever collected. Stacked copies count once. Edges are compared on the snapping grid.
+
+    Shapes are dealt before copies are dropped, so no task gathers those of a whole file; `SHAPE_BYTES` of input make a task,
+    or the session's shuffle partitions where these are more.
     """
-    shapes = df.select(*keys, geom).dropDuplicates([*keys, geom])
+    width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), width_of(df, SHAPE_BYTES) or 0)
+    shapes = df.select(*keys, geom).repartition(width, *keys, geom).dropDuplicates([*keys, geom])
     segments = shapes.select(*keys, F.explode(G.edges(G.snapped(F.col(geom)))).alias("e"))
     start = F.struct(F.col("e.x1").alias("x"), F.col("e.y1").alias("y"))
     end = F.struct(F.col("e.x2").alias("x"), F.col("e.y2").alias("y"))

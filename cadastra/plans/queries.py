@@ -16,6 +16,7 @@ from cadastra.functions.hilbert import hilbert_of_box
 from cadastra.operators import descent, dissolve, enrich, filters, generalize, layout, normalize, publish, quality, reports, sampling, search, simplify
 from cadastra.operators import spatial_join as J
 from cadastra.operators import tiling
+from cadastra.operators.steps import stored
 from cadastra.plans import jobs, rebuild
 from cadastra.plans import standins as S
 from cadastra.session import shared_folder
@@ -396,7 +397,7 @@ def tile_generalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A bend stays where its triangle can be seen; both lots beside a side decide alike, so no inner side is left open.
     """
-    weighted = generalize.with_weights(S.bent_lots(spark, sf_dir), ["lot_id"])
+    weighted = stored(generalize.with_weights(S.bent_lots(spark, sf_dir), ["lot_id"]))
     zooms = weighted.select("lot_id", F.explode(F.sequence(F.lit(9), F.lit(16))).alias("z"), "geom")
     shown = zooms.select("lot_id", "z", generalize.at_zoom(F.col("geom"), F.col("z")).alias("geom"))
     vertices = shown.groupBy("z").agg(F.count("*").alias("lots"), F.sum(G.vertex_count(F.col("geom")) - 1).alias("vertices"))

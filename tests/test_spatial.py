@@ -160,3 +160,12 @@ def test_a_side_that_was_measured_large_is_not_broadcast(spark, tmp_path):
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=merge" in plan.split("Join Inner")[1].splitlines()[0]
     assert joined.count() == 100
+
+
+def test_shapes_are_dealt_before_copies_are_dropped(spark):
+    """No task gathers the shapes of a whole file to drop copies."""
+    squares = spark.range(20).select((F.col("id") % 2).alias("odd"), F.array(G.box_polygon(G.box(F.col("id") % 5, F.lit(0.0), F.col("id") % 5 + 1, F.lit(1.0)))).alias("geom"))
+    found = J.dissolved_boundary(squares, "odd")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan.split("Aggregate")[-1]
+    assert found.count() > 0
