@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -365,6 +366,26 @@ def test_passages_of_repeated_ids_with_different_texts(spark, make_docs):
     assert sum(doc == 2 and "p5 " not in text and text.endswith("end") for doc, text in cut) == 2
 
 
+def test_shuffle_files_go_with_the_table_that_needed_them(spark):
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for k in range(disk.size()) if (name := disk.apply(k).getName()).startswith("shuffle_")}
+
+    earlier = files()
+    counts = written(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    until = time.time() + 5
+    while (left := files() - earlier) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and counts.count() == 100
+
+
+def test_passages_are_the_same_in_any_number_of_turns(spark, make_docs):
+    passage = [f"p{k}" for k in range(90)]
+    rows = [(doc, " ".join([*(f"own{doc}x{k}" for k in range(60)), *passage[doc : doc + 70]])) for doc in range(8)] + [(9, ""), (10, None)]
+    found = [sorted(map(tuple, substring_dedup.repeated_passages(make_docs(rows), substring_dedup.Passages(slices=n)).collect())) for n in (1, 4)]
+    assert found[0] == found[1] and {r[0] for r in found[0]} == set(range(1, 8))
+
+
 def test_passages_are_measured_before_they_are_split():
     what = substring_dedup.Passages()
 
