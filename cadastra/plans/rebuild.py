@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators import descent, filters, layout, publish, tiling
 from cadastra.operators.layout import path_exists
+from cadastra.operators.steps import discard, stored
 
 Key = tuple[str, str]
 Stamps = dict[Key, str]
@@ -91,15 +92,20 @@ def _write_tiles(spark: SparkSession, counties: str, path: str, key: tuple[str,
     publish.commit(table.withColumns({c: F.lit(None).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")}), path, run)
 
 
-def state_outputs(raw: DataFrame, statefp: str, root: str, tie: tuple[str, ...] = ("parcelid", "lrid")) -> list[Output]:
-    """The outputs of one state: state file, counties, county tiles and catalogue, sources before what depends on them."""
+def state_outputs(
+    raw: DataFrame, statefp: str, root: str, tie: tuple[str, ...] = ("parcelid", "lrid"), known: dict[str, DataFrame] | None = None
+) -> list[Output]:
+    """The outputs of one state: state file, counties, county tiles and catalogue, sources before what depends on them.
+
+    `known` gets the tables that the outputs share; `rows` in it, the state's stored rows, is there only after a write.
+    """
     spark, base = raw.sparkSession, root.rstrip("/")
     counties, tiles = f"{base}/by_county", f"{base}/tiles"
     state_path, state_mark = f"{base}/by_state/state={statefp}", f"{base}/_marks/state={statefp}"
     catalogue, catalogue_mark = f"{base}/_catalogue/state={statefp}", f"{base}/_marks/catalogue={statefp}"
     rows = layout.with_partition_keys(filters.with_box(filters.state_extract(filters.with_box(raw), statefp)))
     columns = rows.columns
-    known: dict[str, DataFrame] = {}
+    known = {} if known is None else known
 
     def contents() -> DataFrame:
         if "now" not in known:  # one pass over the state's rows, kept on the driver: at most 1,001 entries
@@ -110,8 +116,13 @@ def state_outputs(raw: DataFrame, statefp: str, root: str, tie: tuple[str, ...]
     def source() -> Stamps:
         return {(r.state, r.county): r.fingerprint for r in contents().collect()}
 
+    def kept() -> DataFrame:
+        if "rows" not in known:  # the raw layer is evaluated once for all writes; a range sort reads its input twice
+            known["rows"] = stored(rows)
+        return known["rows"]
+
     def write_counties(stale: Stamps, gone: list[Key]) -> None:
-        some = rows.where(_among(list(stale))) if stale else rows.where(F.lit(False))
+        some = kept().where(_among(list(stale))) if stale else rows.where(F.lit(False))
         lost = spark.createDataFrame(gone, "state string, county string") if gone else None
         publish.publish_rows(some, counties, tie, known=contents().where(_among(list(stale))), gone=lost)
 
@@ -125,7 +136,7 @@ def state_outputs(raw: DataFrame, statefp: str, root: str, tie: tuple[str, ...]
         return {} if mark in (None, "") else {whole: mark}
 
     def write_state(stale: Stamps, gone: list[Key]) -> None:
-        layout.write_parquet(layout.hilbert_sorted_state(rows.drop(*publish.KEYS), statefp if statefp in filters.STATE_BOUNDS else None, tie=tie), state_path, **layout.STATE_LAYOUT)
+        layout.write_parquet(layout.hilbert_sorted_state(kept().drop(*publish.KEYS), statefp if statefp in filters.STATE_BOUNDS else None, tie=tie), state_path, **layout.STATE_LAYOUT)
         _write_mark(spark, state_mark, stale.get(whole, ""))
 
     def write_catalogue(stale: Stamps, gone: list[Key]) -> None:
@@ -146,4 +157,9 @@ def state_outputs(raw: DataFrame, statefp: str, root: str, tie: tuple[str, ...]
 
 def rebuild_state(raw: DataFrame, statefp: str, root: str, tie: tuple[str, ...] = ("parcelid", "lrid")) -> dict[str, list[Key]]:
     """Bring a state's outputs up to date with the raw layer; returns which parts of each were built or removed."""
-    return bring_up_to_date(state_outputs(raw, statefp, root, tie))
+    known: dict[str, DataFrame] = {}
+    try:
+        return bring_up_to_date(state_outputs(raw, statefp, root, tie, known))
+    finally:
+        if "rows" in known:
+            discard(known["rows"])

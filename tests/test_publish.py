@@ -146,3 +146,17 @@ def test_a_county_that_goes_takes_its_tiles_along(spark, sf_dir, tmp_path):
         assert gone not in {c for _, c in counts(publish.read_published(spark, f"{root}/{name}"))}
     nothing = rebuild.rebuild_state(raw.where("false"), "13", root, TIE)
     assert nothing["counties"] and not any(rebuild.rebuild_state(raw.where("false"), "13", root, TIE).values())
+
+
+def test_the_raw_layer_is_evaluated_once_for_all_writes(spark, sf_dir, tmp_path):
+    rows = S.raw_multi(spark, sf_dir).where("statefp = '13'").localCheckpoint()
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def count(lrid):
+        seen.add(1)
+        return True
+
+    outputs = rebuild.state_outputs(rows.where(count.asNondeterministic()("lrid")), "13", str(tmp_path), TIE)
+    rebuild.bring_up_to_date(outputs[:2])  # state file and counties: tiles read the counties
+    assert 0 < seen.value <= 2 * rows.count()  # its contents, then the rows that are kept for the writes
