@@ -404,6 +404,54 @@ def test_passages_are_measured_before_they_are_split():
     assert [r[2] for r in substring_dedup._verified(elements(twice), elements(base), what)] == [98]
 
 
+def test_near_passages_that_earlier_documents_have_in_parts(spark, make_docs):
+    """Two later documents are near over 70 words; no earlier document is near either of them."""
+    cuts = {1: (0, 38), 2: (34, 70), 3: (12, 58), 4: (20, 60), 5: (0, 70), 6: (0, 70)}
+    rows, later = [], {}
+    for copy in range(8):  # other words, so other minima
+        for doc, (a, b) in cuts.items():
+            body = [f"p{k}v{copy}" if doc < 6 or k != 44 + copy % 5 else f"new{copy}" for k in range(a, b)]
+            own = [f"own{copy}x{doc}x{k}" for k in range(60)]
+            rows.append((100 * copy + doc, " ".join([*own[:30], *body, *own[30:]])))
+        later[100 * copy + 6] = " ".join(body)
+    found = {(r["doc_id"], r["source_id"], r["words"]): (r["start"], r["end"]) for r in substring_dedup.repeated_passages(make_docs(rows)).collect()}
+    texts = dict(rows)
+    for doc, body in later.items():
+        start, end = found[doc, doc - 1, 70]
+        assert texts[doc][start:end] == body
+    assert {doc for doc, _, _ in found} == set(later)  # what the parts share is too short
+
+
+def test_exact_passages_of_repeated_words_and_in_another_order(spark, make_docs):
+    what = substring_dedup.Passages()
+
+    def elements(tokens):
+        return substring_dedup._elements(pa.array([" ".join(tokens).encode()]), what.size)[0]
+
+    def own(name, n):
+        return [f"{name}{k}" for k in range(n)]
+
+    line, p, q = own("line", 8), own("p", 60), own("q", 70)
+    left = [*line, *own("a", 30), *["so"] * 61, *own("b", 30)]
+    right = [*own("c", 40), *line, *own("d", 200), *["so"] * 148]  # the line stands elsewhere
+    (found,) = substring_dedup._verified(elements(left), elements(right), what)
+    assert found[2] == 61 and " ".join(left).encode()[found[0] : found[1]].decode().split() == ["so"] * 61
+    assert sorted(r[2] for r in substring_dedup._verified(elements(p + q), elements(q + p), what)) == [60, 70]
+    left, right = ([*own("l", 8), *["so"] * 3000], [*own("k", 300), *own("l", 8), *own("m", 200), *["so"] * 3000])
+    spans = sorted(r[:2] for r in substring_dedup._verified(elements(left), elements(right), what))
+    ends = [0, *(e for _, e in spans)]
+    assert spans[-1][1] == len(" ".join(left)) and all(start <= end for (start, _), end in zip(spans[1:], ends[1:], strict=False))
+    docs = [(1, " ".join(right)), (2, " ".join([*own("x", 20), *["so"] * 61, *own("y", 20)]))]
+    assert max(r["words"] for r in substring_dedup.repeated_passages(make_docs(docs)).collect()) == 61
+
+
+def test_regions_of_a_pair_that_lie_side_by_side():
+    pieces = [{"start": 10 * k + 30 * t, "end": 10 * k + 30 * t + 45, "source_start": 1000 * k + 30 * t, "source_end": 1000 * k + 30 * t + 45} for k in range(8) for t in range(10)]
+    kind = pa.list_(pa.struct([(x, pa.int32()) for x in ("start", "end", "source_start", "source_end")]))
+    (regions,) = substring_dedup._merged.func(pa.array([pieces], kind)).to_pylist()
+    assert [(r["source_start"], r["end"] - r["start"]) for r in regions] == [(1000 * k, 315) for k in range(8)]
+
+
 def held_out(doc, modulus, rest):
     return zlib.crc32(str(doc).encode()) % modulus == rest
 
